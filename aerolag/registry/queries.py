@@ -89,17 +89,17 @@ def feature_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delay-type table, built twice over under one name and read back."""
+    """The delay-type table dropped, rebuilt and read back."""
     table = "aerolag_delay_type"
     path = scratch_path(spark, table)
     frame = features_type(spark, sf_dir)
     drop_table(spark, table)
     replace_table(frame, table, path)
-    replace_table(frame, table, path)
     return read_export(spark, path, frame.schema)
 
 
 def unload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delay-minutes table exported and read back."""
     frame = features_minutes(spark, sf_dir)
     path = scratch_path(spark, "unload-roundtrip")
     export_parquet(frame, path)
@@ -107,11 +107,11 @@ def unload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dropna_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_incomplete(features_minutes(spark, sf_dir))
+    return drop_incomplete(unload_roundtrip(spark, sf_dir))
 
 
 def dropna_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_incomplete(features_type(spark, sf_dir))
+    return drop_incomplete(stage(features_type(spark, sf_dir), "type-rows"))
 
 
 def _minutes_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,13 +167,8 @@ def multilabel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(report_labels(ruled, S.LABELS, names))
 
 
-def _minutes_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    table = stage(features_minutes(spark, sf_dir), "minutes-rows")
-    return hash_split(P.minutes_target(drop_incomplete(table)))
-
-
 def _minutes_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = _minutes_split(spark, sf_dir)
+    train, test = hash_split(_minutes_rows(spark, sf_dir))
     return score_minutes(fit_minutes(train, rounds=QUERY_ROUNDS), test)
 
 
@@ -187,7 +182,7 @@ def delay_minutes_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def warm_start_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two generations: train, store, load, go on, store, load, score."""
-    train, test = _minutes_split(spark, sf_dir)
+    train, test = hash_split(_minutes_rows(spark, sf_dir))
     path = scratch_path(spark, "minutes-model")
     for _ in range(2):
         save_minutes(spark, fit_minutes(train, load_minutes(spark, path), rounds=QUERY_ROUNDS), path)
@@ -196,8 +191,7 @@ def warm_start_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _types_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = stage(features_type(spark, sf_dir), "type-rows")
-    train, test = hash_split(drop_incomplete(table))
+    train, test = hash_split(dropna_type(spark, sf_dir))
     return score_types(fit_types(train, rounds=QUERY_ROUNDS), test)
 
 

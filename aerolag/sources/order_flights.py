@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag import schema as S
+from aerolag.storage import spread
 
 # Per weather variable the multiplier of the place, the modulus, the
 # divisor and the offset.
@@ -30,11 +31,14 @@ WEATHER_RULES = {
 
 def _weather(place: Column, name: str) -> Column:
     multiplier, modulus, divisor, offset = WEATHER_RULES[name]
-    month, day = F.col("month"), F.col("_day")
-    raw = ((place + 3) * multiplier + month * 11 + day * 7) % modulus
-    value = raw.cast("double") / divisor + offset
+    day_part = F.col("month") * 11 + F.col("_day") * 7
+    value = (((place + 3) * multiplier + day_part) % modulus).cast("double")
+    if divisor != 1.0:
+        value = value / divisor
+    if offset != 0.0:
+        value = value + offset
     if name == "snow_depth":
-        return F.when((place + day) % 50 != 0, value)
+        return F.when((place + F.col("_day")) % 50 != 0, value)
     return value
 
 
@@ -47,7 +51,7 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     shipped = F.col("l_shipdate")
     base = (
-        table("lineitem")
+        spread(table("lineitem"))
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -66,15 +70,13 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_quantity").alias("_quantity"),
         )
     )
-    weather = base.select(
-        "*",
-        *[_weather(F.col("_origin"), name).alias(f"origin_{name}") for name in S.WEATHER],
-        *[_weather(F.col("_dest"), name).alias(f"dest_{name}") for name in S.WEATHER],
-    )
-
     h, rain = F.col("_h"), F.floor("origin_precipitation")
     known, late = h % 53 != 0, F.col("_late")
-    delayed = weather.withColumn("_late", ((h % 24) * 2 + (h * 13) % 41 - 25 + rain).cast("int"))
+    # Each step stays below the 8000 bytes of bytecode the JVM compiles as one method.
+    at_origin = base.select(
+        "*", *[_weather(F.col("_origin"), name).alias(f"origin_{name}") for name in S.WEATHER]
+    )
+    delayed = at_origin.withColumn("_late", ((h % 24) * 2 + (h * 13) % 41 - 25 + rain).cast("int"))
     caused = known & (late > 15)
     return delayed.select(
         S.KEY,
@@ -92,5 +94,5 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(caused, (h % 4).cast("int") * 9).alias("lateaircraftdelay"),
         F.when(caused, (h % 3).cast("int") * late).alias("carrierdelay"),
         *S.ORIGIN_WEATHER,
-        *S.DEST_WEATHER,
+        *[_weather(F.col("_dest"), name).alias(f"dest_{name}") for name in S.WEATHER],
     )

@@ -40,3 +40,13 @@ def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     target = path or scratch_path(spark, name)
     df.write.mode("overwrite").option("maxRecordsPerFile", 0).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Give a scan of fewer partitions than cores one partition per core.
+
+    Small files come as one partition and would keep one core busy with all that follows.
+    A table of at least as many partitions is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
