@@ -31,8 +31,8 @@ WEATHER_RULES = {
 
 def _weather(place: Column, name: str) -> Column:
     multiplier, modulus, divisor, offset = WEATHER_RULES[name]
-    day_part = F.col("month") * 11 + F.col("_day") * 7
-    value = (((place + 3) * multiplier + day_part) % modulus).cast("double")
+    day_part = (F.col("month") * 11 + F.col("_day") * 7).cast("double")
+    value = ((place.cast("double") + 3) * multiplier + day_part) % modulus
     if divisor != 1.0:
         value = value / divisor
     if offset != 0.0:
@@ -48,44 +48,38 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    shipped = F.col("l_shipdate")
+    shipped = F.col("l_shipdate").cast("date")
+    lines = spread(table("lineitem")).select(
+        "l_orderkey",
+        "l_suppkey",
+        F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped).alias(S.KEY),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_h"),
+        F.month(shipped).alias("month"),
+        F.dayofmonth(shipped).alias("_day"),
+        (F.weekday(shipped) + 1).alias("dayofweek"),
+        (F.col("l_quantity").cast("int") * 40 + 100).alias("distance"),
+    )
     base = (
-        spread(table("lineitem"))
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.concat_ws(
-                "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped.cast("date")
-            ).alias(S.KEY),
-            line.alias("_h"),
-            F.col("n_name").cast("string").alias("_name"),
-            F.col("s_nationkey").alias("_origin"),
-            F.col("c_nationkey").alias("_dest"),
-            F.month(shipped).alias("month"),
-            F.dayofmonth(shipped).alias("_day"),
-            (F.weekday(shipped) + 1).alias("dayofweek"),
-            F.col("l_quantity").alias("_quantity"),
-        )
     )
     h, rain = F.col("_h"), F.floor("origin_precipitation")
     known, late = h % 53 != 0, F.col("_late")
-    # Each step stays below the 8000 bytes of bytecode the JVM compiles as one method.
     at_origin = base.select(
-        "*", *[_weather(F.col("_origin"), name).alias(f"origin_{name}") for name in S.WEATHER]
+        "*", *[_weather(F.col("s_nationkey"), name).alias(f"origin_{name}") for name in S.WEATHER]
     )
     delayed = at_origin.withColumn("_late", ((h % 24) * 2 + (h * 13) % 41 - 25 + rain).cast("int"))
     caused = known & (late > 15)
     return delayed.select(
         S.KEY,
-        F.when(h % 97 != 0, F.col("_name")).alias("uniquecarrier"),
+        F.when(h % 97 != 0, F.col("n_name").cast("string")).alias("uniquecarrier"),
         "month",
         "dayofweek",
         ((h % 24) * 100 + h % 60).cast("int").alias("crsdeptime"),
         (((h * 3) % 24) * 100 + (h * 11) % 60).cast("int").alias("crsarrtime"),
-        (F.col("_quantity").cast("int") * 40 + 100).alias("distance"),
+        "distance",
         F.when(known, late).alias("depdelay"),
         F.when(known & (h % 59 != 0), late + ((h * 7) % 21 - 10).cast("int")).alias("arrdelay"),
         F.when(caused, rain.cast("int")).alias("weatherdelay"),
@@ -94,5 +88,5 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(caused, (h % 4).cast("int") * 9).alias("lateaircraftdelay"),
         F.when(caused, (h % 3).cast("int") * late).alias("carrierdelay"),
         *S.ORIGIN_WEATHER,
-        *[_weather(F.col("_dest"), name).alias(f"dest_{name}") for name in S.WEATHER],
+        *[_weather(F.col("c_nationkey"), name).alias(f"dest_{name}") for name in S.WEATHER],
     )
