@@ -47,17 +47,17 @@ def flights(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return flights_from_table(spark, args.flights_table, args.key)
     if args.flights_parquet:
         return flights_from_parquet(spark, args.flights_parquet, args.key)
+    strides = (args.jdbc_partition_column, args.jdbc_lower, args.jdbc_upper, args.jdbc_partitions)
+    if None in (args.jdbc_table, args.jdbc_user, *strides):
+        raise SystemExit("--jdbc-url needs all other --jdbc options")
     return flights_from_jdbc(
         spark,
         args.jdbc_url,
         args.jdbc_table,
         args.jdbc_user,
         os.environ.get(PASSWORD_VARIABLE, ""),
-        args.jdbc_partition_column,
-        args.jdbc_lower,
-        args.jdbc_upper,
-        args.jdbc_partitions,
-        args.key,
+        *strides,
+        key=args.key,
     )
 
 

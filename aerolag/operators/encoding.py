@@ -10,6 +10,7 @@ from aerolag.storage import stage
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 HOT_KEYS = 1000
+HOT_VALUE_BYTES = BROADCAST_BYTES // HOT_KEYS
 
 
 def value_counts(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -32,7 +33,8 @@ def frequency_encode(
     read for one column and then once more. A small table of counts is broadcast.
     A larger one splits the rows: at most ``HOT_KEYS`` values can each hold a
     ``1/HOT_KEYS`` share, so those are broadcast and their rows never move, and only
-    rows of rarer values are shuffled.
+    rows of rarer values are shuffled. A value too long for that bound is shuffled too
+    and left to the skew handling of adaptive execution.
     """
     counts = stage(value_counts(df, column, "_n"), "value-counts")
     value_bytes = F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
@@ -46,7 +48,7 @@ def frequency_encode(
     if size["bytes"] <= broadcast_bytes:
         return df.join(F.broadcast(present.select(column, share)), column)
 
-    is_hot = F.col("_n") * HOT_KEYS >= size["rows"]
+    is_hot = (F.col("_n") * HOT_KEYS >= size["rows"]) & (value_bytes <= HOT_VALUE_BYTES)
     hot = present.filter(is_hot).select(column, share)
     rare = present.filter(~is_hot).select(column, share)
     rare_rows = df.join(F.broadcast(hot.select(column)), column, "left_anti")

@@ -29,6 +29,11 @@ WEATHER_RULES = {
 }
 
 
+def _unless(condition: Column, value: Column) -> Column:
+    """NULL where the condition holds, else the value, also where the condition is NULL."""
+    return F.when(condition, F.lit(None)).otherwise(value)
+
+
 def _weather(place: Column, name: str) -> Column:
     multiplier, modulus, divisor, offset = WEATHER_RULES[name]
     day_part = (F.col("month") * 11 + F.col("_day") * 7).cast("double")
@@ -38,7 +43,7 @@ def _weather(place: Column, name: str) -> Column:
     if offset != 0.0:
         value = value + offset
     if name == "snow_depth":
-        return F.when((place + F.col("_day")) % 50 != 0, value)
+        return _unless((place + F.col("_day")) % 50 == 0, value)
     return value
 
 
@@ -66,27 +71,27 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
     h, rain = F.col("_h"), F.floor("origin_precipitation")
-    known, late = h % 53 != 0, F.col("_late")
+    unknown, late = h % 53 == 0, F.col("_late")
     at_origin = base.select(
         "*", *[_weather(F.col("s_nationkey"), name).alias(f"origin_{name}") for name in S.WEATHER]
     )
     delayed = at_origin.withColumn("_late", ((h % 24) * 2 + (h * 13) % 41 - 25 + rain).cast("int"))
-    caused = known & (late > 15)
+    on_time = unknown | (late <= 15)
     return delayed.select(
         S.KEY,
-        F.when(h % 97 != 0, F.col("n_name").cast("string")).alias("uniquecarrier"),
+        _unless(h % 97 == 0, F.col("n_name").cast("string")).alias("uniquecarrier"),
         "month",
         "dayofweek",
         ((h % 24) * 100 + h % 60).cast("int").alias("crsdeptime"),
         (((h * 3) % 24) * 100 + (h * 11) % 60).cast("int").alias("crsarrtime"),
         "distance",
-        F.when(known, late).alias("depdelay"),
-        F.when(known & (h % 59 != 0), late + ((h * 7) % 21 - 10).cast("int")).alias("arrdelay"),
-        F.when(caused, rain.cast("int")).alias("weatherdelay"),
-        F.when(caused, (h % 5).cast("int")).alias("nasdelay"),
-        F.when(caused, F.when(h % 211 == 1, 12).otherwise(0)).alias("securitydelay"),
-        F.when(caused, (h % 4).cast("int") * 9).alias("lateaircraftdelay"),
-        F.when(caused, (h % 3).cast("int") * late).alias("carrierdelay"),
+        _unless(unknown, late).alias("depdelay"),
+        _unless(unknown | (h % 59 == 0), late + ((h * 7) % 21 - 10).cast("int")).alias("arrdelay"),
+        _unless(on_time, rain.cast("int")).alias("weatherdelay"),
+        _unless(on_time, (h % 5).cast("int")).alias("nasdelay"),
+        _unless(on_time, F.when(h % 211 == 1, 12).otherwise(0)).alias("securitydelay"),
+        _unless(on_time, (h % 4).cast("int") * 9).alias("lateaircraftdelay"),
+        _unless(on_time, (h % 3).cast("int") * late).alias("carrierdelay"),
         *S.ORIGIN_WEATHER,
         *[_weather(F.col("c_nationkey"), name).alias(f"dest_{name}") for name in S.WEATHER],
     )

@@ -23,8 +23,9 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.sort_values(list(frame.columns), na_position="first").reset_index(drop=True)
 
 
-def kinds(frame: pd.DataFrame) -> dict[str, str]:
-    return {name: frame[name].dtype.kind for name in frame.columns}
+def type_of(connection: duckdb.DuckDBPyConnection, column: str) -> str:
+    """The type of a lineitem column."""
+    return str(connection.sql(f"SELECT {column} FROM lineitem").types[0])
 
 
 def assert_same(actual: pd.DataFrame, expected: pd.DataFrame) -> None:

@@ -49,6 +49,12 @@ def test_empty_input(spark):
     assert encoded(empty, broadcast_bytes=-1) == []
 
 
+def test_a_hot_value_too_long_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "HOT_VALUE_BYTES", 2)
+    values = ["long"] * 20 + ["x"] * 20 + [f"v{i}" for i in range(10)]
+    assert encoded(frame(spark, values), broadcast_bytes=0) == expected(values)
+
+
 def test_counts_keep_the_null_group(spark):
     df = frame(spark, ["a", None, "a", None, None])
     assert {row["c"]: row["n"] for row in value_counts(df, "c", "n").collect()} == {"a": 2, None: 3}

@@ -83,6 +83,8 @@ def test_command_line(spark, flights, capsys):
     assert len(load_minutes(spark, model)) == 1
     with pytest.raises(SystemExit):
         main(["type", "--flights-parquet", flights])
+    with pytest.raises(SystemExit, match="jdbc"):
+        main(["type", "--jdbc-url", "jdbc:warehouse", "--type-export", export, "--type-model", model])
 
 
 def test_tables(spark):

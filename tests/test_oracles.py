@@ -40,6 +40,36 @@ def test_same_as_sql(spark, duck, name):
     compare.assert_same(actual.toPandas(), expected.df())
 
 
+@pytest.fixture(scope="module")
+def uneven(tmp_path_factory):
+    """The small tables with a third of all line items copies of one, and NULLs in most columns."""
+    folder = str(tmp_path_factory.mktemp("uneven"))
+    tables = compare.connect(SMALL)
+    for name in compare.TABLES:
+        tables.execute(f"CREATE TABLE own_{name} AS SELECT * FROM {name}")
+    lines = tables.sql("SELECT count(*) FROM own_lineitem").fetchall()[0][0]
+    tables.execute(
+        f"INSERT INTO own_lineitem SELECT l.* FROM (SELECT * FROM lineitem LIMIT 1) l, range({lines // 2})"
+    )
+    for column in ("l_shipdate", "l_quantity", "l_linenumber", "l_orderkey", "l_suppkey"):
+        tables.execute(
+            f"INSERT INTO own_lineitem SELECT * REPLACE (CAST(NULL AS {compare.type_of(tables, column)}) AS {column})"
+            " FROM lineitem LIMIT 200"
+        )
+    tables.execute("UPDATE own_customer SET c_nationkey = NULL WHERE c_custkey % 17 = 0")
+    tables.execute("UPDATE own_nation SET n_name = NULL WHERE n_nationkey = 5")
+    for name in compare.TABLES:
+        tables.execute(f"COPY own_{name} TO '{folder}/{name}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 2048)")
+    return folder
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+def test_same_as_sql_on_uneven_tables(spark, uneven, name):
+    actual = entry_points.queries()[name](spark, uneven)
+    expected = compare.connect(uneven).sql(entry_points.oracle_sql()[name])
+    compare.assert_same(actual.toPandas(), expected.df())
+
+
 def test_flight_key_is_unique(spark):
     flights = entry_points.queries()["flights_scan"](spark, SF_DIR)
     assert flights.select("flight_key").distinct().count() == flights.count()
