@@ -54,11 +54,15 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     shipped = F.col("l_shipdate").cast("date")
+    h = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     lines = spread(table("lineitem")).select(
         "l_orderkey",
         "l_suppkey",
         F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped).alias(S.KEY),
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_h"),
+        h.alias("_h"),
+        ((h % 24) * 2 + (h * 13) % 41 - 25).cast("int").alias("_dry_delay"),
+        ((h % 24) * 100 + h % 60).cast("int").alias("crsdeptime"),
+        (((h * 3) % 24) * 100 + (h * 11) % 60).cast("int").alias("crsarrtime"),
         F.month(shipped).alias("month"),
         F.dayofmonth(shipped).alias("_day"),
         (F.weekday(shipped) + 1).alias("dayofweek"),
@@ -70,24 +74,24 @@ def order_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     )
-    h, rain = F.col("_h"), F.floor("origin_precipitation")
+    h, rain = F.col("_h"), F.floor("origin_precipitation").cast("int")
     unknown, late = h % 53 == 0, F.col("_late")
     at_origin = base.select(
         "*", *[_weather(F.col("s_nationkey"), name).alias(f"origin_{name}") for name in S.WEATHER]
     )
-    delayed = at_origin.withColumn("_late", ((h % 24) * 2 + (h * 13) % 41 - 25 + rain).cast("int"))
+    delayed = at_origin.withColumn("_late", F.col("_dry_delay") + rain)
     on_time = unknown | (late <= 15)
     return delayed.select(
         S.KEY,
         _unless(h % 97 == 0, F.col("n_name").cast("string")).alias("uniquecarrier"),
         "month",
         "dayofweek",
-        ((h % 24) * 100 + h % 60).cast("int").alias("crsdeptime"),
-        (((h * 3) % 24) * 100 + (h * 11) % 60).cast("int").alias("crsarrtime"),
+        "crsdeptime",
+        "crsarrtime",
         "distance",
         _unless(unknown, late).alias("depdelay"),
         _unless(unknown | (h % 59 == 0), late + ((h * 7) % 21 - 10).cast("int")).alias("arrdelay"),
-        _unless(on_time, rain.cast("int")).alias("weatherdelay"),
+        _unless(on_time, rain).alias("weatherdelay"),
         _unless(on_time, (h % 5).cast("int")).alias("nasdelay"),
         _unless(on_time, F.when(h % 211 == 1, 12).otherwise(0)).alias("securitydelay"),
         _unless(on_time, (h % 4).cast("int") * 9).alias("lateaircraftdelay"),
