@@ -2,6 +2,25 @@
 
 from __future__ import annotations
 
+#: DuckDB's names of the ASCII letters' lower case, and the words of a text.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP3_DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)),
+win AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS x
+        FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b WHERE n > 0)),
+pos AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (SELECT p.doc_id, p.i, p.n, win.item_id
+        FROM (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS x FROM pos) p JOIN win ON p.n = win.n AND p.x = win.x),
+words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+"""
+
 OP9_WARC = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
@@ -15,5 +34,6 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_decontamination": OP3_DECONTAMINATION,
         "op9_warc": OP9_WARC,
     }

@@ -4,13 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolag.llm.decontamination import contamination
 from aerolag.llm.language import identify_documents
+from aerolag.llm.packing import pack_documents
 from aerolag.llm.tables import table
+from aerolag.llm.token_files import token_file_round_trip
 from aerolag.llm.warc import archive_round_trip
 
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_round_trip(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_documents(table(spark, sf_dir, "documents"))
 
@@ -21,6 +41,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_decontamination": op3_decontamination,
+        "op6_packing": op6_packing,
+        "op7_token_files": op7_token_files,
         "op8_language": op8_language,
         "op9_warc": op9_warc,
     }
