@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
-#: DuckDB's names of the ASCII letters' lower case, and the words of a text.
-_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_JACCARD = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5
+        THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+sym AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, sym.y FROM r JOIN sym ON r.b = sym.x),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.a = d.doc_id
+"""
+
+#: The words of a text.
+_WORDS = rf"""regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 OP3_DECONTAMINATION = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -34,6 +51,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_jaccard": OP2_JACCARD,
         "op3_decontamination": OP3_DECONTAMINATION,
         "op9_warc": OP9_WARC,
     }

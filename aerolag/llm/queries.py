@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolag.llm.decontamination import contamination
+from aerolag.llm.jaccard import near_duplicates
 from aerolag.llm.language import identify_documents
 from aerolag.llm.packing import pack_documents
 from aerolag.llm.tables import table
@@ -19,6 +20,10 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -41,6 +46,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_jaccard": op2_jaccard,
         "op3_decontamination": op3_decontamination,
         "op6_packing": op6_packing,
         "op7_token_files": op7_token_files,
