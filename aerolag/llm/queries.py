@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolag.llm.decontamination import contamination
+from aerolag.llm.html import main_texts
 from aerolag.llm.jaccard import near_duplicates
 from aerolag.llm.language import identify_documents
 from aerolag.llm.packing import pack_documents
@@ -49,6 +50,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_jaccard": op2_jaccard,
@@ -58,4 +63,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_files": op7_token_files,
         "op8_language": op8_language,
         "op9_warc": op9_warc,
+        "op10_html": op10_html,
     }

@@ -1,29 +1,55 @@
-"""The operators as stages of the corpus pipeline."""
+"""The operators as stages of the corpus pipeline: each takes (spark, docs, sf_dir) and keeps the columns of docs."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aerolag.llm.language import identify, learn_prototypes, held_out
+from aerolag.llm import decontamination as leaks
+from aerolag.llm import jaccard, pii
+from aerolag.llm.language import UNDETERMINED, held_out, identify, learn_prototypes
+from aerolag.llm.packing import pack_documents
+from aerolag.llm.tables import small_side, table
+from aerolag.storage import stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without one (null, or no letter) go."""
+    """Documents with a language; those without one (null, empty, or no letter) go."""
     prototypes = learn_prototypes(docs.filter(~held_out()))
-    return identify(docs, prototypes, docs.columns).filter("lang_pred <> 'und'").select(*docs.columns)
+    return identify(docs, prototypes, docs.columns).filter(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """One document of each group of near-duplicates: the one with the smallest doc_id.
+
+    A document without shingles is a group of its own. Rows of one doc_id stay or go together, equal
+    ones of them as one; rows without a doc_id stay, equal ones as one.
+    """
+    found = jaccard.near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id")
+    found = found.agg(F.bool_or(F.col("component_id") == F.col("doc_id")).alias("stays"), F.count("*").alias("n"))
+    gone = stage(found.filter("NOT stays").select("doc_id"), "gone")
+    repeated = stage(found.filter("stays AND n > 1").select("doc_id"), "repeated")
+    kept = docs.join(small_side(gone), "doc_id", "left_anti")
+    several = small_side(repeated)
+    once = kept.filter("doc_id IS NOT NULL").join(several, "doc_id", "left_anti")
+    # Few rows share an id as a rule; only those are compared by their text.
+    equal = kept.join(several, "doc_id", "left_semi").unionByName(kept.filter("doc_id IS NULL"))
+    return once.unionByName(equal.dropDuplicates(["doc_id", "text"])).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that hold no window of the benchmark."""
+    found = leaks.find_benchmark(docs, table(spark, sf_dir, "benchmark"), docs.columns)
+    return found.filter(F.size("spans") == 0).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All documents, every span of personal data replaced by its kind; n_chars follows the text."""
+    found = pii.redact(docs, pii.fit_on(docs))
+    return found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else found
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The pieces of all documents and the sequences they are packed into."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))

@@ -8,10 +8,11 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_ROWS = 256
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 _shipped: set[str] = set()
 
@@ -34,9 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lower_ascii(column: Column) -> Column:
-    """A-Z to lower case, everything else as it is."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def small_side(stored: DataFrame, *texts: str) -> DataFrame:
+    """A stored table for a join: marked for broadcast if it is below ``BROADCAST_BYTES``, else as it is.
+
+    The size counts 64 bytes a row and the bytes of the columns ``texts``.
+    """
+    size = F.lit(64)
+    for name in texts:
+        size = size + F.octet_length(name)
+    total = stored.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(stored) if total <= BROADCAST_BYTES else stored
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
