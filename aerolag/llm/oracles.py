@@ -4,6 +4,20 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1_EMBEDDINGS = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+good AS (SELECT vec_id, x, sqrt(list_sum(list_transform(x, lambda e: e * e))) AS n FROM v
+         WHERE x IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+           AND len(list_filter(x, lambda e: e <> 0)) > 0),
+e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+      WHERE list_dot_product(a.x, b.x) / (a.n * b.n) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY 1),
+n AS (SELECT x, count(*) AS n FROM e GROUP BY 1)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v LEFT JOIN n ON n.x = v.vec_id JOIN c ON c.a = v.vec_id
+"""
+
 OP2_JACCARD = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 5
@@ -51,6 +65,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_embeddings": OP1_EMBEDDINGS,
         "op2_jaccard": OP2_JACCARD,
         "op3_decontamination": OP3_DECONTAMINATION,
         "op9_warc": OP9_WARC,

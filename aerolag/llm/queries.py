@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolag.llm.caps import near_duplicate_vectors
 from aerolag.llm.decontamination import contamination
 from aerolag.llm.html import main_texts
 from aerolag.llm.jaccard import near_duplicates
@@ -22,6 +23,10 @@ WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embeddings": op1_embeddings,
         "op2_jaccard": op2_jaccard,
         "op3_decontamination": op3_decontamination,
         "op5_personal_data": op5_personal_data,

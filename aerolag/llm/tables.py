@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,16 +55,22 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], key: Callable[[dict], object]) -> Iterator[tuple[object, list[dict]]]:
-    """Consecutive rows of equal ``key``, over batch borders; the input is sorted by it."""
-    current, held = None, []
-    for batch in slices(batches, 4096):
-        for row in batch.to_pylist():
-            at = key(row)
-            if held and at != current:
-                yield current, held
+def sorted_groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Consecutive rows with equal integers in ``names``, over batch borders, with those integers."""
+    held: list[pa.Table] = []
+    current: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(name).to_numpy() for name in names])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        whole = pa.Table.from_batches([batch])
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            key = tuple(keys[:, start].tolist())
+            if held and key != current:
+                yield current, pa.concat_tables(held)
                 held = []
-            current = at
-            held.append(row)
+            current = key
+            held.append(whole.slice(start, end - start))
     if held:
-        yield current, held
+        yield current, pa.concat_tables(held)
