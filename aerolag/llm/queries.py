@@ -14,6 +14,7 @@ from aerolag.llm.jaccard import near_duplicates
 from aerolag.llm.language import identify_documents
 from aerolag.llm.packing import pack_documents
 from aerolag.llm.pii import personal_data
+from aerolag.llm.repeats import remove_repeats
 from aerolag.llm.tables import table
 from aerolag.llm.token_files import token_file_round_trip
 from aerolag.llm.warc import archive_round_trip
@@ -35,6 +36,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_embeddings": op1_embeddings,
         "op2_jaccard": op2_jaccard,
         "op3_decontamination": op3_decontamination,
+        "op4_repeats": op4_repeats,
         "op5_personal_data": op5_personal_data,
         "op6_packing": op6_packing,
         "op7_token_files": op7_token_files,
