@@ -3,13 +3,13 @@
 Documents with equal sets form one class. Each class lists the shingles of its prefix, so that two
 similar classes share a list: shingles in a rare-first order, of n of them the first n - ceil(0.75 n) + 1.
 
-The lists are skipped through by the relations between sets. First each list's first class is compared
-with its other members, which gives exact overlaps and, by the links found, components. Members of one
-component need no further answer. For the others a member's answers derive from those of the list's
-first class: the overlap of x and y lies between |x ^ r| + |y ^ r| - |r| and
-min(|x ^ r| + |y - r|, |y ^ r| + |x - r|). Only pairs this does not settle are compared. A list is
-blocked by the place its shingle has in the sets, and two blocks are skipped together where what is left
-behind those places cannot reach the overlap that the blocks' sizes ask for.
+The lists are skipped through by the relations between sets. The first class of a list is compared with
+its other members, which gives exact overlaps and, by the links found, components; members of one
+component need no further answer. For the others the answers derive from those of the first class r:
+with the shingles of r that x and y each hold as bits, and the few others that occur again listed, the
+overlap of x and y is that of the bits and of the lists, and the sets themselves are not read again. The
+members are taken in blocks by the place their shingle has in them, and two blocks are skipped together
+where what is left behind those places cannot reach the overlap that the blocks' sizes ask for.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from aerolag.llm.components import connected_components
 from aerolag.llm.shingles import set_key, shingle_set
-from aerolag.llm.tables import map_arrow, slices
+from aerolag.llm.tables import map_arrow, slices, sorted_groups
 from aerolag.storage import stage
 
 #: Two sets link when LINK[1] * intersection >= LINK[0] * union.
@@ -39,7 +39,9 @@ GATHERED = 1 << 21
 #: Sets a task remembers, so that copies are worked on once.
 REMEMBERED = 200_000
 #: Members of a list, or comparisons with one set, that one task takes at a time.
-LIST_BLOCK = 1024
+LIST_BLOCK = 2048
+#: Members of a list that are skipped together.
+SKIP_BLOCK = 256
 
 
 def _links(overlap: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -183,12 +185,14 @@ def prefixes(documents: DataFrame, bitmaps: tuple[bytes, bytes]) -> DataFrame:
     )
 
 
-def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact overlap of every pair (a, b) of set keys: a, b, size_a, size_b, overlap.
+def compare(pairs: DataFrame, texts: DataFrame, bitmaps: tuple[bytes, bytes]) -> DataFrame:
+    """Exact answers for pairs (a, b) of set keys: a, b, size_a, size_b, overlap, bits, others.
 
-    All comparisons with one ``a`` are dealt to tasks of about ``LIST_BLOCK``, to each of which its text
-    comes once; the others pass by it one at a time.
+    ``bits`` marks the shingles of a that b holds, in order; ``others`` lists those of b that a lacks
+    and that may occur again. All comparisons with one ``a`` are dealt to tasks of about
+    ``LIST_BLOCK``, to each of which its text comes once; the others pass by it one at a time.
     """
+    shared = pairs.sparkSession.sparkContext.broadcast(bitmaps[0])
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("parts"))
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
     one_of_each = texts.select("set_key", "text").dropDuplicates(["set_key"])
@@ -197,6 +201,8 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     firsts = firsts.select("a", "part", F.lit(None).cast("long").alias("b"), "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again = np.frombuffer(shared.value, np.uint8)
+        types = [pa.int64()] * 5 + [pa.binary()] * 2
         first = np.empty(0, dtype=np.uint64)
         for batch in slices(batches):
             rows = []
@@ -205,133 +211,127 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     first = shingle_set(text)
                     continue
                 other = shingle_set(text)
-                small, large = (first, other) if len(first) < len(other) else (other, first)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                rows.append((a, b, len(first), len(other), int(np.count_nonzero(large[at] == small))))
+                at = np.minimum(np.searchsorted(first, other), len(first) - 1)
+                common = first[at] == other
+                bits = np.zeros(len(first), dtype=bool)
+                bits[at[common]] = True
+                rest = other[~common]
+                place = (rest >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                rest = rest[(again[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0]
+                rows.append((a, b, len(first), len(other), int(common.sum()), np.packbits(bits).tobytes(), rest.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, pa.int64()) for column in zip(*rows)], ["a", "b", "size_a", "size_b", "overlap"]
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows), types)],
+                    ["a", "b", "size_a", "size_b", "overlap", "bits", "others"],
                 )
 
     together = others.unionByName(firsts).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return map_arrow(together, read, "a long, b long, size_a long, size_b long, overlap long")
-
-
-def _unsettled(keys, labels, sizes, places, overlaps, first_size, mine, theirs) -> tuple[list, list]:
-    """Pairs of two parts of a list that link by derivation, and those still to compare."""
-    left = sizes - places
-    linked, open_pairs = [], []
-
-    def blocks(members: np.ndarray) -> list[np.ndarray]:
-        members = members[np.argsort(places[members], kind="stable")]
-        cuts = np.flatnonzero(np.diff(places[members]) != 0) + 1
-        return np.split(members, cuts)
-
-    same = mine is theirs
-    of_mine = blocks(mine)
-    of_theirs = of_mine if same else blocks(theirs)
-    tops = [[(left[block].max(), sizes[block].min()) for block in part] for part in (of_mine, of_theirs)]
-    for i, one in enumerate(of_mine):
-        for j in range(i if same else 0, len(of_theirs)):
-            most = min(tops[0][i][0], tops[1][j][0])
-            size = tops[0][i][1] + tops[1][j][1]
-            if not _links(most, size):
+    return map_arrow(together, read, "a long, b long, size_a long, size_b long, overlap long, bits binary, others binary")
+
+
+class _Members:
+    """Members of one list as arrays, in blocks of falling reach."""
+
+    def __init__(self, group: pa.Table, chosen: np.ndarray):
+        group = group.take(pa.array(chosen))
+        left = group.column("left").to_numpy()
+        order = np.argsort(-left, kind="stable")
+        group = group.take(pa.array(order))
+        self.key, self.label, self.size = (group.column(name).to_numpy() for name in ("b", "label", "size"))
+        self.left = left[order]
+        self.bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint8).reshape(len(order), -1)
+        self.others = [np.frombuffer(others, np.uint64) for others in group.column("others").to_pylist()]
+        self.more = np.fromiter(map(len, self.others), np.int64, len(order))
+        self.starts = range(0, len(order), SKIP_BLOCK)
+        self.smallest = [self.size[start : start + SKIP_BLOCK].min() for start in self.starts]
+
+
+def _settle(mine: _Members, theirs: _Members, labels: dict[int, int]) -> list[tuple[int, int]]:
+    """Links that connect what all links between ``mine`` and ``theirs`` connect, from derived answers."""
+
+    def name(label: int) -> int:
+        while labels.setdefault(label, label) != label:
+            label = labels[label]
+        return label
+
+    out = []
+    for row in range(len(mine.key)):
+        block = row // SKIP_BLOCK
+        for place, start in enumerate(theirs.starts):
+            if mine is theirs and place < block:
                 continue
-            other = of_theirs[j]
-            for x in one:
-                y = other[other > x] if same and i == j else other
-                y = y[labels[y] != labels[x]]
-                if not len(y):
+            # Blocks by place: what is left in either bounds the overlap of any pair of them.
+            if not _links(min(mine.left[row], theirs.left[start]), mine.size[row] + theirs.smallest[place]):
+                continue
+            end = min(start + SKIP_BLOCK, len(theirs.key))
+            first = max(start, row + 1) if mine is theirs else start
+            if first >= end:
+                continue
+            some = slice(first, end)
+            sizes = mine.size[row] + theirs.size[some]
+            common = np.bitwise_count(mine.bits[row] & theirs.bits[some]).sum(axis=1, dtype=np.int64)
+            possible = _links(common + np.minimum(mine.more[row], theirs.more[some]), sizes) & (theirs.label[some] != mine.label[row])
+            for at in np.flatnonzero(possible).tolist():
+                one, other = name(int(mine.label[row])), name(int(theirs.label[first + at]))
+                if one == other:
                     continue
-                size = sizes[x] + sizes[y]
-                high = np.minimum(left[x], left[y])
-                high = np.minimum(high, np.minimum(overlaps[x] + sizes[y] - overlaps[y], overlaps[y] + sizes[x] - overlaps[x]))
-                high = np.where((overlaps[x] < 0) | (overlaps[y] < 0), np.minimum(left[x], left[y]), high)
-                high = np.minimum(high, np.minimum(sizes[x], sizes[y]))
-                low = np.where((overlaps[x] < 0) | (overlaps[y] < 0), 0, overlaps[x] + overlaps[y] - first_size)
-                certain = _links(np.maximum(low, 0), size)
-                possible = ~certain & _links(high, size)
-                linked += [(keys[x], k) for k in keys[y[certain]]]
-                open_pairs += [(keys[x], k) for k in keys[y[possible]]]
-    return linked, open_pairs
-
-
-def _further_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For sorted rows of parts of lists: pairs over components, linked (true) or to compare (false)."""
-
-    def settle(rows: list[tuple]) -> pa.RecordBatch | None:
-        columns = [np.array(column, dtype=np.int64) for column in zip(*rows)]
-        _, _, _, block, keys, labels, sizes, places, overlaps, first_size = columns
-        chosen = [np.flatnonzero(block == b) for b in np.unique(block)]
-        mine, theirs = chosen if len(chosen) == 2 else (chosen[0], chosen[0])
-        if rows[0][1] != rows[0][2] and len(chosen) < 2:
-            return None
-        linked, compare_them = _unsettled(keys, labels, sizes, places, overlaps, first_size[0], mine, theirs)
-        found = {(min(pair), max(pair)): True for pair in linked}
-        for pair in compare_them:
-            found.setdefault((min(pair), max(pair)), False)
-        if not found:
-            return None
-        a, b = zip(*found)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(list(found.values()))], ["a", "b", "linked"]
-        )
-
-    names = ("shingle", "i", "j", "block", "set_key", "label", "size", "place", "overlap", "first_size")
-    at, held = None, []
-    for batch in slices(batches, 4096):
-        for row in zip(*(batch.column(name).to_pylist() for name in names)):
-            if held and row[:3] != at:
-                if (out := settle(held)) is not None:
-                    yield out
-                held = []
-            at = row[:3]
-            held.append(row)
-    if held and (out := settle(held)) is not None:
-        yield out
+                overlap = common[at]
+                if mine.more[row] and theirs.more[first + at]:
+                    overlap = overlap + len(np.intersect1d(mine.others[row], theirs.others[first + at], assume_unique=True))
+                if _links(overlap, sizes[at]):
+                    labels[max(one, other)] = min(one, other)
+                    out.append((int(mine.key[row]), int(theirs.key[first + at])))
+    return out
+
+
+def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For sorted parts of lists (first, i, j, block, b, ...): links (a, b) over their components."""
+    for (_, i, j), group in sorted_groups(batches, ["first", "i", "j"]):
+        block = group.column("block").to_numpy()
+        mine, theirs = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        if not len(mine) or not len(theirs):
+            continue
+        one = _Members(group, mine)
+        links = _settle(one, one if i == j else _Members(group, theirs), {})
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*links)], ["a", "b"])
 
 
 def set_links(documents: DataFrame, members: DataFrame) -> DataFrame:
     """Links (a, b) between set keys whose components are those of all links of ``documents`` (text)."""
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    listed = stage(prefixes(documents, repeated_shingles(documents, total)), "prefixes")
+    bitmaps = repeated_shingles(documents, total)
+    listed = stage(prefixes(documents, bitmaps), "prefixes")
     entry = F.explode(F.arrays_zip("shingles", "places")).alias("entry")
     entries = listed.select("set_key", "size", entry).select(
-        "set_key", "size", F.col("entry.shingles").alias("shingle"), F.col("entry.places").cast("long").alias("place")
-    )
-    lists = entries.groupBy("shingle").agg(F.min(F.struct("set_key", "size")).alias("first"), F.max("set_key").alias("last"))
-    lists = lists.filter("first.set_key < last").select(
-        "shingle", F.col("first.set_key").alias("first"), F.col("first.size").alias("first_size")
+        "set_key", F.col("entry.shingles").alias("shingle"), (F.col("size") - F.col("entry.places")).alias("left")
     )
-    listed_entries = stage(entries.join(lists, "shingle"), "lists")
+    lists = entries.groupBy("shingle").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last"))
+    lists = lists.filter("first < last").select("shingle", "first")
+    in_lists = entries.join(lists, "shingle").filter("set_key <> first")
+    in_lists = stage(in_lists.groupBy("first", "set_key").agg(F.max("left").alias("left")), "lists")
 
     # The first class of each list against its others: exact answers.
-    fits = F.expr(f"{LINK[1]} * least(size, first_size) >= {LINK[0]} * greatest(size, first_size)")
-    pairs = listed_entries.filter("set_key <> first").filter(fits).select(F.col("first").alias("a"), F.col("set_key").alias("b"))
-    answers = stage(compare(pairs.distinct(), listed), "answers")
+    pairs = in_lists.select(F.col("first").alias("a"), F.col("set_key").alias("b"))
+    answers = stage(compare(pairs, listed, bitmaps), "answers")
     is_link = F.expr(f"{LINK[1]} * overlap >= {LINK[0]} * (size_a + size_b - overlap)")
-    links = answers.filter(is_link).select("a", "b")
-    known = stage(connected_components(links), "components")
-
-    # Lists over several components: what follows from those answers, and what remains to compare.
-    label = F.coalesce("component", "set_key").alias("label")
-    labelled = listed_entries.join(known, listed_entries["set_key"] == known["node"], "left").select(*listed_entries.columns, label)
-    mixed = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
-    mixed = mixed.filter("low < high").select("shingle", F.ceil(F.col("n") / LIST_BLOCK).alias("blocks"))
-    answer = answers.select(F.col("a").alias("first"), F.col("b").alias("set_key"), "overlap")
-    rest = labelled.join(mixed, "shingle").filter("set_key <> first").join(answer, ["first", "set_key"], "left")
-    rest = rest.select(
-        "shingle", "set_key", "label", "size", "place", "first_size", F.coalesce("overlap", F.lit(-1)).alias("overlap"),
-        F.pmod(F.xxhash64("set_key"), "blocks").alias("block"), "blocks",
+    known = stage(connected_components(answers.filter(is_link).select("a", "b")), "components")
+
+    # Lists over several components: what follows from those answers.
+    placed = answers.select(F.col("a").alias("first"), "b", F.col("size_b").alias("size"), "bits", "others")
+    placed = placed.join(in_lists.withColumnRenamed("set_key", "b"), ["first", "b"])
+    label = F.coalesce("component", "b").alias("label")
+    placed = placed.join(known, placed["b"] == known["node"], "left").select(*placed.columns, label)
+    mixed = placed.groupBy("first").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+    mixed = mixed.filter("low < high").select("first", F.ceil(F.col("n") / LIST_BLOCK).alias("blocks"))
+    rest = placed.join(mixed, "first").withColumn("block", F.pmod(F.xxhash64("b"), "blocks"))
+    spread = rest.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    spread = spread.select(
+        "first", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "b", "label", "size", "left", "bits", "others"
     )
-    one, two = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    spread = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    spread = spread.select("shingle", one, two, "block", "set_key", "label", "size", "place", "overlap", "first_size").distinct()
-    dealt = spread.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
-    further = stage(map_arrow(dealt, _further_pairs, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked")), "pairs")
-    compared = compare(further.filter("NOT linked").select("a", "b"), listed).filter(is_link).select("a", "b")
+    dealt = spread.repartition("first", "i", "j").sortWithinPartitions("first", "i", "j")
     chains = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return chains.unionByName(further.filter("linked").select("a", "b")).unionByName(compared)
+    return chains.unionByName(map_arrow(dealt, _derived, "a long, b long"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.llm.tables import map_arrow, slices
-from aerolag.llm.tokenizing import Encoder, crc_of_ids
+from aerolag.llm.tokenizing import crc_of_ids, encoder
 from aerolag.storage import stage
 
 SEQUENCE_TOKENS = 2048
@@ -92,11 +92,11 @@ def cut_pieces(documents: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKE
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, blank_joins=False)
+        tokens_of = encoder(tokenizer, blank_joins=False)
         key = TaskContext.get().partitionId() << 36
-        for batch in slices(batches):
+        for batch in slices(batches, 1024):
             rows, at, crcs = [], [], []
-            for i, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
+            for i, ids in enumerate(tokens_of.encode(batch.column("text"))):
                 for piece, start in enumerate(range(0, len(ids), tokens)):
                     part = ids[start : start + tokens]
                     at.append(i)

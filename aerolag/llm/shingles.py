@@ -48,7 +48,7 @@ def shingle_set(text: str | None) -> np.ndarray:
     length = min(SHINGLE_WORDS, len(words))
     total = np.full(len(words) - length + 1, length, dtype=np.uint64)
     for place in range(length):
-        total += _mixed(hashes[place : len(hashes) - length + 1 + place] * _PLACE[place])
+        total += hashes[place : len(hashes) - length + 1 + place] * _PLACE[place]
     return np.unique(_mixed(total))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolag.llm.tables import map_arrow, slices
-from aerolag.llm.tokenizing import Encoder, crc_of_ids
+from aerolag.llm.tokenizing import crc_of_ids, encoder
 from aerolag.storage import scratch_path
 
 MAGIC = b"DAC1"
@@ -111,7 +111,7 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, blank_joi
     id_type = documents.schema["doc_id"].dataType.simpleString()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, blank_joins)
+        tokens_of = encoder(tokenizer, blank_joins)
         part, number = TaskContext.get().partitionId(), 0
         names, parts, held = [], [], 0
 
@@ -126,8 +126,8 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, blank_joi
                 ["part", "number", "n_ids", "doc_ids", "lengths", "codes"],
             )
 
-        for batch in slices(batches):
-            for i, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
+        for batch in slices(batches, 1024):
+            for i, ids in enumerate(tokens_of.encode(batch.column("text"))):
                 names.append(batch.column("doc_id").slice(i, 1))
                 parts.append(ids)
                 held += len(ids)
