@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from aerolag.llm.tables import map_arrow, slices
 
@@ -169,7 +171,7 @@ def _cue(text: str, start: int) -> str:
 Candidate = tuple[int, int, int, list[str], int, int]
 
 
-def _candidates(text: str, low: int, high: int, taken: list[tuple[int, int]]) -> tuple[int, list[Candidate]]:
+def _candidates(text: str, low: int, high: int, taken: list[list[int]]) -> tuple[int, list[Candidate]]:
     """Number of tokens between ``low`` and ``high``, and the segments that could be entities there.
 
     A segment: first token, end token (exclusive), kind, features, start and end in the text.
@@ -181,6 +183,11 @@ def _candidates(text: str, low: int, high: int, taken: list[tuple[int, int]]) ->
     is_at = [text[start] == "@" or text[start - 1 : end + 1] in ("(at)", "[at]") for start, end in tokens]
     at_before = np.cumsum([0, *is_at])
     digits_before = np.cumsum([0, *[(end - start) * digit for digit, (start, end) in zip(has_digit, tokens)]])
+    starts, ends = [start for start, _ in tokens], [end for _, end in tokens]
+    is_taken = np.zeros(len(tokens), dtype=np.int64)
+    for start, end in taken:
+        is_taken[bisect_right(ends, start) : bisect_left(starts, end)] = 1
+    taken_before = np.cumsum([0, *is_taken.tolist()])
     out: list[Candidate] = []
     for first, (start, _) in enumerate(tokens):
         word = text[start].isalnum() or text[start] in "_%"
@@ -199,7 +206,7 @@ def _candidates(text: str, low: int, high: int, taken: list[tuple[int, int]]) ->
                 kinds += [1] if 4 <= count <= 12 else []
                 kinds += [2] if 13 <= count <= 19 else []
                 kinds += [3] if 7 <= count <= 15 else []
-            if not kinds or any(start < high and low < stop for low, high in taken):
+            if not kinds or taken_before[end] > taken_before[first]:
                 continue
             cue = _cue(text, start) if cue is None else cue
             for kind in kinds:
@@ -391,9 +398,15 @@ def all_spans(text: str | None, field: Field) -> tuple[list[tuple[str, int, int]
     if not text or not _SIGN.search(text):
         return [], []
     base = base_spans(text)
+    joined: list[list[int]] = []
+    for start, end in sorted(span[1:] for span in base):
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(end, joined[-1][1])
+        else:
+            joined.append([start, end])
     added = []
     for low, high in _regions(text):
-        taken = [(start, end) for _, start, end in base if start < high and low < end]
+        taken = joined[bisect_right(joined, low, key=lambda s: s[1]) : bisect_left(joined, high, key=lambda s: s[0])]
         tokens, candidates = _candidates(text, low, high, taken)
         chosen = field.best(tokens, candidates)
         added += [(KINDS[candidates[i][2]], candidates[i][4], candidates[i][5]) for i in chosen]
@@ -401,7 +414,7 @@ def all_spans(text: str | None, field: Field) -> tuple[list[tuple[str, int, int]
     return base, sorted({*base, *added}, key=lambda span: (order[span[0]], span[1], span[2]))
 
 
-_SPANS = "array<struct<kind:string,start:int,end:int>>"
+_SPANS = ArrayType(StructType().add("kind", "string").add("start", "integer").add("end", "integer"))
 
 
 def find_spans(documents: DataFrame, field: Field) -> DataFrame:
@@ -410,7 +423,7 @@ def find_spans(documents: DataFrame, field: Field) -> DataFrame:
     Spans are places in code points, the end exclusive. A null or empty text has none.
     """
     weights, turns = field.weights, field.turns
-    row_type = documents.schema.simpleString()
+    schema = StructType().add("_row", documents.schema).add("base", _SPANS).add("spans", _SPANS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Field(weights, turns)
@@ -424,19 +437,26 @@ def find_spans(documents: DataFrame, field: Field) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_row"), *columns], ["_row", "base", "spans"])
 
     rows = documents.select(F.struct(*documents.columns).alias("_row"), F.col("text").cast("string").alias("_text"))
-    return map_arrow(rows, read, f"_row {row_type}, base {_SPANS}, spans {_SPANS}")
+    return map_arrow(rows, read, schema)
+
+
+def _count(kind: str) -> Column:
+    # A second parameter of the inner function would be the place in the array.
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
 def personal_data(documents: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document (doc_id, text)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every document (doc_id, text).
+
+    A null or empty text has counts of zero, the digest of an empty string and no spans. Repeated rows
+    give repeated results; other columns are not read.
+    """
     found = find_spans(documents.select("doc_id", "text"), fit_on(documents))
     # The text is not needed beyond this point.
     text_of = lambda column: F.array_join(
         F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS
-    ]
+    counts = [_count(kind) for kind in KINDS]
     return found.select(
         "_row.doc_id", *counts, F.sha2(text_of("base").cast("binary"), 256).alias("base_sha256"), text_of("spans").alias("spans")
     )
@@ -466,5 +486,4 @@ def redact(documents: DataFrame, field: Field) -> DataFrame:
             columns = [pa.array(texts, pa.string()) if name == "text" else rows.field(name) for name in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = ", ".join(f"`{column.name}` {column.dataType.simpleString()}" for column in documents.schema.fields)
-    return map_arrow(found.select("_row", "spans"), read, schema)
+    return map_arrow(found.select("_row", "spans"), read, documents.schema)

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_ROWS = 256
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -18,7 +19,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the executors once for every application."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
