@@ -10,6 +10,7 @@ filter, and a pair counts only in the smallest filter it shares.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,13 +26,16 @@ from aerolag.storage import stage
 MIN_COSINE = 0.95
 #: Vectors of one filter that are compared as one block.
 FILTER_BLOCK = 2048
+#: Random pairs the threshold is measured on.
+TRIAL_PAIRS = 1000
 
 
 @dataclass(frozen=True)
 class Filters:
     """Codes: how many, parts of each, directions a part, and the threshold in standard deviations of a random product.
 
-    With the defaults, pairs of cosine 0.95 in 64 dimensions share a filter with probability 0.998.
+    Where random pairs of the smallest cosine share a filter less often than ``recall``, as in few
+    dimensions, the threshold is lowered to what they need.
     """
 
     codes: int = 6
@@ -39,6 +43,8 @@ class Filters:
     directions: int = 128
     threshold: float = 3.25
     seed: int = 1
+    recall: float = 0.998
+    min_cosine: float = MIN_COSINE
 
 
 class Decoder:
@@ -57,6 +63,26 @@ class Decoder:
                 book = rng.normal(size=(len(columns), filters.directions))
                 books.append(rotation[:, columns] @ (book / np.linalg.norm(book, axis=0)))
             self.codes.append(books)
+        self.limit = min(self.limit, self._needed())
+
+    def _needed(self) -> float:
+        """The highest threshold at which ``recall`` of random pairs of the smallest cosine share a filter."""
+        rng, cosine = np.random.default_rng(self.filters.seed), self.filters.min_cosine
+        one, other = rng.normal(size=(2, TRIAL_PAIRS, self.dimensions))
+        one /= np.linalg.norm(one, axis=1)[:, None]
+        if self.dimensions > 1:
+            other -= (other * one).sum(axis=1)[:, None] * one
+            other /= np.linalg.norm(other, axis=1)[:, None]
+            other = cosine * one + np.sqrt(1 - cosine**2) * other
+        else:
+            other = one
+        best = np.full(TRIAL_PAIRS, -np.inf)
+        for books in self.codes:
+            products = [(one @ book, other @ book) for book in books]
+            for pair in range(TRIAL_PAIRS):
+                sums = [functools.reduce(np.add.outer, [product[side][pair] for product in products]) for side in (0, 1)]
+                best[pair] = max(best[pair], np.minimum(*sums).max())
+        return float(np.floor(np.quantile(best, 1 - self.filters.recall) * 1e6) / 1e6)
 
     def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All filters of unit vectors: row numbers and filter numbers, sorted by row."""
@@ -80,6 +106,11 @@ class Decoder:
         return rows[order], chosen[order] + (self.dimensions << 44)
 
 
+@functools.lru_cache(maxsize=16)
+def _decoder(dimensions: int, filters: Filters) -> Decoder:
+    return Decoder(dimensions, filters)
+
+
 def _units(vectors: list[bytes]) -> np.ndarray:
     matrix = np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
     matrix = matrix / np.abs(matrix).max(axis=1)[:, None]
@@ -109,15 +140,12 @@ def capped(classes: DataFrame, filters: Filters, with_vectors: bool) -> DataFram
     """(filter, key) of every filter of every vector; on demand with copies and vector."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoders: dict[int, Decoder] = {}
         for batch in slices(batches):
             vectors = np.array(batch.column("vector").to_pylist(), dtype=object)
             sizes = np.fromiter(map(len, vectors), np.int64, len(vectors)) // 8
             for size in np.unique(sizes).tolist():
-                if size not in decoders:
-                    decoders[size] = Decoder(size, filters)
                 of_size = np.flatnonzero(sizes == size)
-                rows, found = decoders[size].decode(_units(vectors[of_size].tolist()))
+                rows, found = _decoder(size, filters).decode(_units(vectors[of_size].tolist()))
                 taken = batch.take(pa.array(of_size[rows]))
                 columns = [pa.array(found), taken.column("key")]
                 columns += [taken.column("copies"), taken.column("vector")] if with_vectors else []
@@ -127,7 +155,7 @@ def capped(classes: DataFrame, filters: Filters, with_vectors: bool) -> DataFram
     return map_arrow(classes.select("key", "copies", "vector"), read, schema)
 
 
-def link_classes(classes: DataFrame, filters: Filters = Filters(), min_cosine: float = MIN_COSINE) -> DataFrame:
+def link_classes(classes: DataFrame, filters: Filters = Filters()) -> DataFrame:
     """Links between stored classes (key, copies, vector): key, other (some that connect), n (copies linked).
 
     Each row adds ``n`` to the links of ``key`` and may tie it to ``other``. A filter with many vectors
@@ -142,7 +170,6 @@ def link_classes(classes: DataFrame, filters: Filters = Filters(), min_cosine: f
     rows = rows.select("filter", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "key", "copies", "vector")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoders: dict[int, Decoder] = {}
         out: list[tuple] = []
 
         def send() -> pa.RecordBatch:
@@ -156,17 +183,15 @@ def link_classes(classes: DataFrame, filters: Filters = Filters(), min_cosine: f
             units = _units(group.column("vector").to_pylist())
             block = group.column("block").to_numpy()
             mine, theirs = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            one, other = np.nonzero(units[mine] @ units[theirs].T >= min_cosine)
+            one, other = np.nonzero(units[mine] @ units[theirs].T >= filters.min_cosine)
             one, other = mine[one], theirs[other]
             if i == j:
                 one, other = one[one < other], other[one < other]
             if not len(one):
                 continue
             size = units.shape[1]
-            if size not in decoders:
-                decoders[size] = Decoder(size, filters)
             involved, place = np.unique(np.concatenate([one, other]), return_inverse=True)
-            rows_of, found = decoders[size].decode(units[involved])
+            rows_of, found = _decoder(size, filters).decode(units[involved])
             cuts = np.searchsorted(rows_of, np.arange(len(involved) + 1))
             shared = [found[a:b][: np.searchsorted(found[a:b], at)] for a, b in zip(cuts[:-1], cuts[1:])]
             smaller = [set(part.tolist()) for part in shared]
@@ -189,7 +214,7 @@ def link_classes(classes: DataFrame, filters: Filters = Filters(), min_cosine: f
     return map_arrow(dealt, read, "key long, other long, n long")
 
 
-def near_duplicate_vectors(embeddings: DataFrame, filters: Filters = Filters(), min_cosine: float = MIN_COSINE) -> DataFrame:
+def near_duplicate_vectors(embeddings: DataFrame, filters: Filters = Filters()) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of ``embeddings`` (vec_id, embedding).
 
     Equal vectors are compared as one and counted as many. A vector that is null, empty or zero, or
@@ -211,7 +236,7 @@ def near_duplicate_vectors(embeddings: DataFrame, filters: Filters = Filters(),
     copies = linked.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
     packed = map_arrow(copies.select("least", "copies", "embedding"), pack, f"least {types['vec_id']}, copies long, embedding {types['embedding']}, vector binary")
     classes = stage(packed.withColumn("key", F.monotonically_increasing_id()), "vector-classes")
-    links = stage(link_classes(classes, filters, min_cosine), "vector-links")
+    links = stage(link_classes(classes, filters), "vector-links")
 
     known = connected_components(links.filter("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
     counts = links.groupBy("key").agg(F.sum("n").alias("n"))

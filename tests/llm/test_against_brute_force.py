@@ -1,0 +1,214 @@
+"""The operators against brute force on small tables."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from aerolag.llm.caps import near_duplicate_vectors
+from aerolag.llm.decontamination import contamination
+from aerolag.llm.jaccard import near_duplicates
+from aerolag.llm.packing import Capacities, best_fit, pack_documents
+from aerolag.llm.pii import personal_data
+from aerolag.llm.repeats import remove_repeats
+from aerolag.llm.token_files import Codes, encode_codes, token_file_round_trip
+
+from .cases import documents, texts
+
+ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def components(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(60)]
+    rows += [(60 + i, (np.array(rows[i % 7][1]) + rng.normal(size=16) * 0.15).tolist()) for i in range(60)]
+    rows += [(120, rows[0][1]), (121, rows[0][1]), (122, [0.0] * 16), (123, None), (124, [math.nan] * 16), (125, [None] * 16)]
+    rows += [(126, []), (127, [1.0, 2.0]), (128, [2.0, 4.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows = [(i, v) for i, v in frame.collect()]
+    unit = {}
+    for i, v in rows:
+        if v and None not in v and np.isfinite(v).all() and np.any(v):
+            unit[i] = np.array(v, dtype=np.float64) / np.linalg.norm(np.array(v, dtype=np.float64))
+    links = [(a, b) for a in unit for b in unit if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95]
+    count = Counter(x for link in links for x in link)
+    low = components([i for i, _ in rows], links)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_duplicate_vectors(frame).collect()}
+    assert len(links) > 20
+    assert got == {i: (count[i], low[i], low[i] == i) for i, _ in rows}
+
+
+def test_sets(spark):
+    sets = {}
+    for i, text in texts():
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII_LOWER))
+        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} - {()}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    low = components(sets, links)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents(spark)).collect()}
+    assert got == {i: (len(sets[i]), low[i]) for i in sets}
+
+
+def test_decontamination(spark):
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    split = lambda t: word.findall((t or "").translate(ASCII_LOWER))
+    source = dict(texts())
+    first = source[33].split()
+    items = [(1, " ".join(first[40:60])), (2, "One, TWO!"), (3, None), (4, ""), (5, " ".join(first[40:60])), (10, " ".join(first[45:54]))]
+    items += [(11, "café 日本語"), (12, "... !!!")]
+    windows = defaultdict(set)
+    for i, text in items:
+        w = split(text)
+        n = min(10, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows[tuple(w[k : k + n])].add(str(i))
+    expected = {}
+    for i, text in source.items():
+        w, hit, found = split(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in windows:
+                    hit |= set(range(k, k + n))
+                    found |= windows[tuple(w[k : k + n])]
+        expected[i] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    found = contamination(documents(spark), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in found.collect()} == expected
+    assert sum(x[4] for x in expected.values()) >= 4
+
+
+def test_repeats(spark):
+    data = {i: (t or "").encode() for i, t in texts()}
+    count = Counter(b[k : k + 400] for b in data.values() for k in range(len(b) - 399))
+    expected = {}
+    for i, b in data.items():
+        gone = np.zeros(len(b) + 1, dtype=bool)
+        for k in range(len(b) - 399):
+            if count[b[k : k + 400]] > 1:
+                gone[k : k + 400] = True
+        spans = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        expected[i] = (len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(documents(spark)).collect()}
+    assert got == expected
+    assert sum(x[1] > 0 for x in expected.values()) >= 5
+
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    twice = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+    return sum(v // 10 + v % 10 for v in twice) % 10 == 0
+
+
+def base_of(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = kind == "email"
+            good |= kind == "ip" and all(int(p) <= 255 for p in m[0].split("."))
+            good |= kind == "card" and 13 <= len(digits) <= 19 and luhn(digits)
+            good |= kind == "phone" and 9 <= len(digits) <= 15
+            if good:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def personal_texts():
+    rng = random.Random(5)
+    parts = ["joe.b@x-y.co.uk", "a@b@c.de", "a@b.c@d.e.f", "@x.y", "1.2.3.4", "1.2.3.4.5.6.7.8.9", "256.1.1.1", "0001.2.3.255", "4111 1111 1111 1111"]
+    parts += ["4111-1111-1111-1112", "+49 (30) 1234-5678", "+1 2", "+1((((", "+44 20 7946 0958.", "mail", "日本 é", "12", "...", "5500005555555559", "x+y%z@q.r-s."]
+    rows = [(i, "".join(rng.choice(parts) + rng.choice([" ", "", "\n", ", "]) for _ in range(rng.randrange(1, 14)))) for i in range(300)]
+    rows += [(300, None), (301, ""), (302, "contact joe(at)example.com or 10[.]0[.]0[.]1")]
+    rows += [(303, "joe@example.com " * 3000), (304, "9" * 5000), (305, "a" * 50000), (306, "+1" + "(" * 20000)]
+    return rows + [(400 + i, f"Write to user{i}@example.com or call +1 555 010 {1000 + i} from 10.0.0.{i}, card 4111 1111 1111 1111.") for i in range(60)]
+
+
+def test_personal_data(spark):
+    rows = personal_texts()
+    got = {r.doc_id: r for r in personal_data(documents(spark, rows)).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i, text in rows:
+        base = base_of(text or "")
+        r = got[i]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(b[0] == k for b in base) for k in PATTERNS), text
+        named = [f"{k}:{s}:{e}" for k, s, e in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert not Counter(named) - Counter(r.spans.split(",") if r.spans else [])
+    assert "email:8:26" in got[302].spans
+
+
+@pytest.mark.parametrize("kind", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_tokens(spark, kind):
+    path = public_tokenizers.path(kind)
+    tokenizer = Tokenizer.from_file(path)
+    rows = [*texts(), (50, "A<|endoftext|>b  c\r\n\td  e I'm 3.5 "), (51, "İstanbul ﬁ ẞ é \x00\x07 don't 1234567")]
+    ids = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
+    crc = lambda x: zlib.crc32(np.array(x, dtype="<u4").tobytes())
+    if kind.startswith("byte"):
+        start, expected = 0, {}
+        for i in sorted(ids):
+            expected[i] = (start, len(ids[i]), crc(ids[i]))
+            start += len(ids[i])
+        got = token_file_round_trip(documents(spark, rows), path).collect()
+        assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in got} == expected
+        return
+    packed = pack_documents(documents(spark, rows), path).collect()
+    sequences = defaultdict(list)
+    for r in packed:
+        assert r.ids_crc32 == crc(ids[r.doc_id][r.start : r.start + r.length]) and r.start == r.piece * 2048
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert Counter((r.doc_id, r.piece) for r in packed) == Counter((i, p) for i in ids for p in range(-(-len(ids[i]) // 2048)))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(sequences) <= math.ceil(sum(map(len, ids.values())) / 2048) + 1
+
+
+def test_capacities():
+    lengths = np.array([5, 4, 4, 3, 3, 2, 1, 1, 1])
+    sequence, offset = best_fit(lengths, Capacities(tokens=8, documents=2, attention=41))
+    for number in set(sequence):
+        mine = lengths[sequence == number]
+        assert mine.sum() <= 8 and len(mine) <= 2 and (mine**2).sum() <= 41
+        assert sorted(offset[sequence == number]) == [0, *np.cumsum(mine[np.argsort(offset[sequence == number])])[:-1]]
+    with pytest.raises(ValueError):
+        best_fit(np.array([9]), Capacities(tokens=8))
+
+
+def test_codes():
+    rng = np.random.default_rng(1)
+    for ids in (rng.integers(0, 60000, 3000), rng.integers(0, 2**32, 700), np.array([], dtype=np.int64), np.zeros(513, dtype=np.int64)):
+        codes = Codes(encode_codes(ids.astype(np.uint32)))
+        assert len(codes) == len(ids) and [codes[i] for i in range(len(ids))] == ids.tolist()
+        assert codes.read(len(ids) // 3, len(ids)).tolist() == ids[len(ids) // 3 :].tolist()
