@@ -181,7 +181,7 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, columns: list[str
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
         found = _search_block(found, [(row["item"], row["text"]) for row in part])
-    return found.select("_row.*", F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
+    return found.select(*[F.col(f"_row.`{name}`") for name in columns], F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -14,10 +14,15 @@ from aerolag.llm.tables import small_side, table
 from aerolag.storage import stage
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """text, and all columns under one name that clashes with none an operator adds."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; those without one (null, empty, or no letter) go."""
     prototypes = learn_prototypes(docs.filter(~held_out()))
-    return identify(docs, prototypes, docs.columns).filter(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
+    return identify(_packed(docs), prototypes, ["_row"]).filter(F.col("lang_pred") != UNDETERMINED).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +45,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of the benchmark."""
-    found = leaks.find_benchmark(docs, table(spark, sf_dir, "benchmark"), docs.columns)
-    return found.filter(F.size("spans") == 0).select(*docs.columns)
+    found = leaks.find_benchmark(_packed(docs), table(spark, sf_dir, "benchmark"), ["_row"])
+    return found.filter(F.size("spans") == 0).select("_row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

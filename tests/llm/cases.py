@@ -2,7 +2,7 @@
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _text string, base string, spans string, key long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _text string, base string, spans string, lang_pred string, items int, n_words int, key long"
 
 
 def texts() -> list[tuple[int | None, str | None]]:
@@ -21,7 +21,7 @@ def texts() -> list[tuple[int | None, str | None]]:
 
 def documents(spark, rows=None):
     full = [
-        (i, t, None if i is None or i % 5 == 0 else ("en", "fr")[i % 2], None, None, "a", "b", "c", 1)
+        (i, t, None if i is None or i % 5 == 0 else ("en", "fr")[i % 2], None, None, "a", "b", "c", "d", 2, 3, 1)
         for i, t in (texts() if rows is None else rows)
     ]
     return spark.createDataFrame(full, SCHEMA)
