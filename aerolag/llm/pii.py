@@ -467,23 +467,20 @@ def redact(documents: DataFrame, field: Field) -> DataFrame:
 
     Overlapping spans are replaced together, by the kind of the first. All columns stay.
     """
-    found = find_spans(documents, field)
-    names = documents.columns
+    names, weights, turns = documents.columns, field.weights, field.turns
+
+    def hidden(text: str | None, known: Field) -> str | None:
+        parts, at = [], 0
+        for kind, start, end in sorted(all_spans(text, known)[1], key=lambda span: (span[1], -span[2])):
+            if start >= at:
+                parts += [text[at:start], f"[{kind}]"]
+            at = max(at, end)
+        return "".join(parts) + text[at:] if parts else text
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Field(weights, turns)
         for batch in slices(batches):
-            texts = []
-            rows = batch.column("_row")
-            for text, spans in zip(rows.field("text").to_pylist(), batch.column("spans").to_pylist()):
-                if spans:
-                    parts, at = [], 0
-                    for span in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-                        if span["start"] >= at:
-                            parts += [text[at : span["start"]], f"[{span['kind']}]"]
-                        at = max(at, span["end"])
-                    text = "".join(parts) + text[at:]
-                texts.append(text)
-            columns = [pa.array(texts, pa.string()) if name == "text" else rows.field(name) for name in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return map_arrow(found.select("_row", "spans"), read, documents.schema)
+            texts = pa.array([hidden(text, known) for text in batch.column("text").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if name == "text" else batch.column(name) for name in names], names)
+
+    return map_arrow(documents, read, documents.schema)

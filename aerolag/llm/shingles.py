@@ -9,7 +9,8 @@ import numpy as np
 import xxhash
 
 SHINGLE_WORDS = 5
-HASHES_KEPT = 400_000
+#: Words whose hash a worker keeps; hashing one anew is cheap.
+HASHES_KEPT = 50_000
 
 #: One odd multiplier for each place in a shingle, and two to mix the sum.
 _PLACE = np.array(
