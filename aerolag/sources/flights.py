@@ -21,7 +21,8 @@ def with_row_key(flights: DataFrame, columns: list[str] | None = None) -> DataFr
 
 
 def _ready(flights: DataFrame, key: list[str] | None) -> DataFrame:
-    return S.check_flights(with_row_key(flights, key)).select(*S.FLIGHTS.names)
+    checked = S.check_flights(with_row_key(flights, key))
+    return checked.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in S.FLIGHTS.fields])
 
 
 def flights_from_table(spark: SparkSession, name: str, key: list[str] | None = None) -> DataFrame:

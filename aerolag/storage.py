@@ -17,7 +17,7 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="aerolag-")
     if context.getCheckpointDir() is None:

@@ -90,3 +90,9 @@ def test_readers(spark, edge_flights, tmp_path):
 def test_wrong_tables_are_named(spark, edge_flights):
     with pytest.raises(ValueError, match="month: missing.*distance: string"):
         S.check_flights(edge_flights.drop("month").withColumn("distance", F.lit("far")))
+
+
+def test_floating_delays_are_refused(edge_flights):
+    with pytest.raises(ValueError, match="depdelay: double"):
+        S.check_flights(edge_flights.withColumn("depdelay", F.lit(float("nan"))))
+    S.check_flights(edge_flights.withColumn("depdelay", F.col("depdelay").cast("decimal(38,0)")))
