@@ -138,13 +138,10 @@ class Encoder:
         odd = pc.match_substring_regex(texts, _ODD_BLANKS).to_numpy(zero_copy_only=False) if self.blank_joins else np.zeros(len(texts), bool)
         lists = self._parts(pc.if_else(pa.array(odd), "", texts))
         words = lists.flatten().dictionary_encode()
-        ids = self._learn(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(ids), dtype=self.type)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.type.itemsize
-        starts = np.cumsum(sizes) - sizes
-        at = words.indices.to_numpy()
-        places = np.concatenate([[0], np.cumsum(sizes[at])])
-        all_ids = flat[np.repeat(starts[at] - places[:-1], sizes[at]) + np.arange(places[-1])]
+        ids = self._learn(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, ends, data = pa.array(ids, pa.large_binary()).take(words.indices).buffers()
+        places = np.frombuffer(ends, dtype=np.int64)[: len(words) + 1] // self.type.itemsize
+        all_ids = np.frombuffer(data or b"", dtype=self.type)
         cuts = places[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
         first = int(self.blank_joins)
         out = []
