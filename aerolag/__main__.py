@@ -13,6 +13,7 @@ from aerolag.plans.delay_minutes import run_minutes
 from aerolag.plans.delay_type import run_type
 from aerolag.plans.run_all import JobPaths, run_all
 from aerolag.sources.flights import flights_from_jdbc, flights_from_parquet, flights_from_table
+from aerolag.storage import job_folder
 
 PASSWORD_VARIABLE = "FLIGHTS_JDBC_PASSWORD"
 
@@ -38,7 +39,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--rounds", type=int, default=ROUNDS)
     top.add_argument("--max-generations", type=int)
     top.add_argument("--parallel-fits", type=int, default=PARALLEL_FITS)
-    top.add_argument("--staging-path")
+    top.add_argument("--training-partitions", type=int, help="partitions to train on (default: those of the scan)")
+    top.add_argument("--staging-path", help="keep the staged features here (jobs type and all)")
     return top
 
 
@@ -64,25 +66,33 @@ def flights(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"flight-delay-{args.job}").getOrCreate()
-    source = flights(spark, args)
     minutes = JobPaths(args.minutes_table, args.minutes_export, args.minutes_model)
     types = JobPaths(args.type_table, args.type_export, args.type_model)
     for job, paths in (("minutes", minutes), ("type", types)):
         if args.job in (job, "all") and not (paths.export_path and paths.model_path):
             raise SystemExit(f"--{job}-export and --{job}-model are needed")
+    with job_folder(spark, f"flight-delay-{args.job}"):
+        run(args, flights(spark, args), minutes, types)
+
+
+def run(args: argparse.Namespace, source: DataFrame, minutes: JobPaths, types: JobPaths) -> None:
+    partitions = args.training_partitions
     if args.job == "minutes":
         result = run_minutes(
-            source, minutes.table, minutes.export_path, minutes.model_path, args.rounds, args.max_generations
+            source, minutes.table, minutes.export_path, minutes.model_path,
+            args.rounds, args.max_generations, partitions,
         )
         result.metrics.show(truncate=False)
     elif args.job == "type":
         report = run_type(
-            source, types.table, types.export_path, types.model_path, args.rounds, args.parallel_fits
+            source, types.table, types.export_path, types.model_path,
+            args.rounds, args.parallel_fits, partitions, args.staging_path,
         ).report
         report.orderBy("position").show(truncate=False)
     else:
         first, second = run_all(
-            source, minutes, types, args.rounds, args.max_generations, args.parallel_fits, args.staging_path
+            source, minutes, types,
+            args.rounds, args.max_generations, args.parallel_fits, partitions, args.staging_path,
         )
         first.metrics.show(truncate=False)
         second.report.orderBy("position").show(truncate=False)

@@ -13,7 +13,7 @@ from aerolag.operators.rows import drop_incomplete
 from aerolag.operators.split import hash_split
 from aerolag.operators.tables import read_export, replace_table
 from aerolag.plans.features import feature_frame, minutes_table, minutes_target
-from aerolag.storage import stage
+from aerolag.storage import held, job_folder
 
 
 @dataclass(frozen=True)
@@ -29,9 +29,13 @@ def run_minutes(
     model_path: str,
     rounds: int = ROUNDS,
     max_generations: int | None = None,
+    partitions: int | None = None,
 ) -> MinutesResult:
     """Rebuild the table, train, evaluate, store the model."""
-    return minutes_from_frame(feature_frame(flights), table, export_path, model_path, rounds, max_generations)
+    with job_folder(flights.sparkSession, "minutes-job"):
+        return minutes_from_frame(
+            feature_frame(flights), table, export_path, model_path, rounds, max_generations, partitions
+        )
 
 
 def minutes_from_frame(
@@ -41,6 +45,7 @@ def minutes_from_frame(
     model_path: str,
     rounds: int = ROUNDS,
     max_generations: int | None = None,
+    partitions: int | None = None,
 ) -> MinutesResult:
     """The job from a feature frame on.
 
@@ -57,7 +62,7 @@ def minutes_from_frame(
     prior = load_minutes(spark, model_path)
     if max_generations is not None and len(prior) >= max_generations:
         prior = []
-    generations = fit_minutes(train, prior, rounds=rounds)
+    generations = fit_minutes(train, prior, rounds=rounds, partitions=partitions)
     scored = score_minutes(generations, test)
-    metrics = stage(regression_metrics(scored, "total_delay", "prediction"), "minutes-metrics")
+    metrics = held(regression_metrics(scored, "total_delay", "prediction"))
     return MinutesResult(save_minutes(spark, generations, model_path), metrics)

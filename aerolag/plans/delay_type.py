@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from aerolag.models.assembly import ROUNDS
 from aerolag.models.types import PARALLEL_FITS, fit_types, predicted, save_types, score_types
 from aerolag.operators.metrics import multilabel_report
-from aerolag.operators.rows import dense_id, drop_incomplete
+from aerolag.operators.rows import drop_incomplete, number_rows
 from aerolag.operators.split import hash_split
 from aerolag.operators.tables import read_export, replace_table
 from aerolag.plans.features import feature_frame, type_table
 from aerolag.schema import KEY, LABELS, TYPE_COLUMNS
-from aerolag.storage import stage
+from aerolag.storage import held, job_folder, scratch_path, stage
 
 
 @dataclass(frozen=True)
@@ -31,10 +31,19 @@ def run_type(
     model_path: str,
     rounds: int = ROUNDS,
     parallel_fits: int = PARALLEL_FITS,
+    partitions: int | None = None,
+    staging_path: str | None = None,
 ) -> TypeResult:
-    """Rebuild the table, train, evaluate, store the model."""
-    numbered = dense_id(type_table(feature_frame(flights)))
-    return type_from_numbered(numbered, table, export_path, model_path, rounds, parallel_fits)
+    """Rebuild the table, train, evaluate, store the model.
+
+    The rows to number are written to the job's folder, or to ``staging_path`` to be kept.
+    """
+    spark = flights.sparkSession
+    with job_folder(spark, "type-job"):
+        path = staging_path or scratch_path(spark, "type-rows")
+        staged = stage(type_table(feature_frame(flights)), "type-rows", path)
+        numbered = number_rows(spark, path, staged.schema)
+        return type_from_numbered(numbered, table, export_path, model_path, rounds, parallel_fits, partitions)
 
 
 def type_from_numbered(
@@ -44,6 +53,7 @@ def type_from_numbered(
     model_path: str,
     rounds: int = ROUNDS,
     parallel_fits: int = PARALLEL_FITS,
+    partitions: int | None = None,
 ) -> TypeResult:
     """The job from numbered feature rows on.
 
@@ -56,8 +66,8 @@ def type_from_numbered(
     exported = read_export(spark, export_path, columns.schema)
     train, test = hash_split(drop_incomplete(exported))
 
-    model = fit_types(train, rounds=rounds, parallel_fits=parallel_fits)
+    model = fit_types(train, rounds=rounds, parallel_fits=parallel_fits, partitions=partitions)
     scored = score_types(model, test)
-    report = stage(multilabel_report(scored, LABELS, [predicted(label) for label in LABELS]), "type-report")
-    save_types(model, model_path)
+    report = held(multilabel_report(scored, LABELS, [predicted(label) for label in LABELS]))
+    save_types(spark, model, model_path)
     return TypeResult(model, report)

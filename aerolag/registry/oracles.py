@@ -164,7 +164,11 @@ def oracle_sql() -> dict[str, str]:
         "frequency_encode": _features("SELECT flight_key, uniquecarrier_freq FROM features"),
         "features_minutes": minutes,
         "features_type": types,
-        "feature_sql_text": minutes,
+        "feature_sql_text": _flights(
+            "SELECT flight_key, uniquecarrier, count(*) OVER (PARTITION BY uniquecarrier) AS carrier_count,"
+            " CAST(count(*) OVER (PARTITION BY uniquecarrier) AS DOUBLE) / count(*) OVER () AS uniquecarrier_freq"
+            " FROM flights QUALIFY uniquecarrier IS NOT NULL"
+        ),
         "table_refresh": types,
         "unload_roundtrip": minutes,
         "dropna_minutes": _features(f"SELECT {MINUTES} FROM features WHERE {_complete(S.MINUTES_COLUMNS)}"),
@@ -173,7 +177,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay FROM features"
             f" WHERE {_complete(S.MINUTES_COLUMNS)}"
         ),
-        "dense_row_id": _features("SELECT row_number() OVER () AS id FROM features"),
+        "dense_row_id": _features("SELECT flight_key, 1 AS in_range, 1 AS occurs_once FROM features"),
         "train_test_split": _features(
             f"SELECT flight_key, CASE WHEN {IS_TEST} THEN 1 ELSE 0 END AS is_test FROM features"
             f" WHERE {_complete(S.MINUTES_COLUMNS)}"
@@ -193,4 +197,28 @@ def oracle_sql() -> dict[str, str]:
             f" SELECT label, tp, pred, support FROM ({LABEL_COUNTS})"
         ),
         "multilabel_report": _features(REPORT),
+        "delay_minutes_predict": _features(
+            f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay, 1 AS prediction_is_finite"
+            f" FROM features WHERE {_complete(S.MINUTES_COLUMNS)} AND {IS_TEST}"
+        ),
+        "delay_minutes_eval": _features(
+            f", rows_used AS (SELECT CAST(depdelay AS DOUBLE) + arrdelay AS y, {IS_TEST} AS is_test FROM features"
+            f" WHERE {_complete(S.MINUTES_COLUMNS)}),"
+            " known AS (SELECT avg(y) AS mean FROM rows_used WHERE NOT is_test)"
+            " SELECT count(*) AS n, round(sqrt(avg((y - mean) * (y - mean))), 6) AS mean_rmse, 1 AS beats_mean"
+            " FROM rows_used, known WHERE is_test"
+        ),
+        "warm_start_predict": _features(
+            f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay, 2 AS generations,"
+            f" 1 AS is_sum_of_parts FROM features WHERE {_complete(S.MINUTES_COLUMNS)} AND {IS_TEST}"
+        ),
+        "delay_type_predict": _features(
+            f"SELECT flight_key, {_listed(S.LABELS)}, 1 AS predictions_are_flags FROM features"
+            f" WHERE {_complete(S.TYPE_COLUMNS)} AND {IS_TEST}"
+        ),
+        "delay_type_eval": _features(
+            REPORT.rsplit("SELECT CAST(position", 1)[0]
+            + "SELECT label, CAST(support AS BIGINT) AS support, round(f1, 6) AS rule_f1,"
+            " CASE WHEN label = 'micro avg' THEN 1 END AS models_beat_rules FROM report"
+        ),
     }

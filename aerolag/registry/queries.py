@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolag import schema as S
 from aerolag.models.assembly import VECTOR, assemble
-from aerolag.models.minutes import fit_minutes, load_minutes, save_minutes, score_minutes
-from aerolag.models.types import fit_types, predicted, score_types
+from aerolag.models.minutes import Generation, fit_minutes, load_minutes, save_minutes, score_minutes
+from aerolag.models.types import fit_types, load_types, predicted, save_types, score_types
 from aerolag.operators.encoding import frequency_encode, row_count, value_counts
 from aerolag.operators.metrics import label_counts as count_labels
 from aerolag.operators.metrics import multilabel_report as report_labels
@@ -23,8 +26,8 @@ from aerolag.plans import features as P
 from aerolag.sources.order_flights import order_flights
 from aerolag.storage import scratch_path, stage
 
-# Rounds of the queries that train; the jobs use the full number.
-QUERY_ROUNDS = 5
+#: Folders of the models trained so far, by application, input and kind.
+_stored: dict[tuple[str, str, str], str] = {}
 
 
 def flights_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,33 +72,28 @@ def features_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delay-minutes table by SQL text over the encoded flights."""
-    months, days = (", ".join(map(str, values)) for values in (S.PEAK_MONTHS, S.WEEKEND_DAYS))
-    text = f"""
-        SELECT flight_key,
-            int(floor(crsdeptime / 100)) AS departure_hour,
-            int(floor(crsarrtime / 100)) AS arrival_hour,
-            if(month IN ({months}), 1, 0) AS is_peak_season,
-            if(dayofweek IN ({days}), 1, 0) AS is_weekend,
-            double(origin_temperature_2m - dest_temperature_2m) AS temp_diff,
-            double(origin_relative_humidity_2m - dest_relative_humidity_2m) AS humidity_diff,
-            double(origin_precipitation - dest_precipitation) AS precip_diff,
-            double(distance) AS distance,
-            uniquecarrier_freq, {", ".join(S.DELAYS + S.ORIGIN_WEATHER + S.DEST_WEATHER)}
-        FROM {{encoded}}
+    """Counts, total and join of the carrier shares as one SQL statement."""
+    text = """
+        WITH seen AS (SELECT uniquecarrier, count(*) AS carried FROM {flights} GROUP BY uniquecarrier),
+        shares AS (
+            SELECT uniquecarrier, carried, carried / double((SELECT sum(carried) FROM seen)) AS share
+            FROM seen WHERE uniquecarrier IS NOT NULL)
+        SELECT f.flight_key, uniquecarrier, carried AS carrier_count, share AS uniquecarrier_freq
+        FROM {flights} f JOIN shares USING (uniquecarrier)
     """
-    encoded = frequency_encode(order_flights(spark, sf_dir), "uniquecarrier", "uniquecarrier_freq")
-    return run_sql(spark, text, encoded=encoded)
+    return run_sql(spark, text, flights=order_flights(spark, sf_dir))
 
 
 def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delay-type table dropped, rebuilt and read back."""
-    table = "aerolag_delay_type"
-    path = scratch_path(spark, table)
-    frame = features_type(spark, sf_dir)
+    """The delay-type table built, built again in its place, and read back through the catalog."""
+    path = scratch_path(spark, "delay-type")
+    table = f"aerolag_{uuid.uuid4().hex}"
+    rows = stage(features_type(spark, sf_dir), "type-rows")
+    replace_table(rows.filter("false"), table, path)
+    replace_table(rows, table, path)
+    found = stage(spark.read.table(table), "refreshed")
     drop_table(spark, table)
-    replace_table(frame, table, path)
-    return read_export(spark, path, frame.schema)
+    return found
 
 
 def unload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,8 +121,18 @@ def total_delay_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of the delay-type table; which row gets which id is not defined."""
-    return dense_id(features_type(spark, sf_dir)).select("id")
+    """Rows of the delay-type table: is the id within 1..N, and does it occur once?
+
+    Which row gets which id is not defined.
+    """
+    numbered = dense_id(features_type(spark, sf_dir)).select(S.KEY, "id")
+    rows = numbered.count()
+    occurs = F.count("*").over(Window.partitionBy("id"))
+    return numbered.select(
+        S.KEY,
+        F.col("id").between(1, rows).cast("int").alias("in_range"),
+        (occurs == 1).cast("int").alias("occurs_once"),
+    )
 
 
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,40 +175,90 @@ def multilabel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(report_labels(ruled, S.LABELS, names))
 
 
-def _minutes_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_model(spark: SparkSession, sf_dir: str, kind: str, train: Callable[[str], object]) -> str:
+    """Folder of a model trained with full rounds; the queries of one session share it."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _stored:
+        path = scratch_path(spark, f"{kind}-model")
+        train(path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def _minutes_model(spark: SparkSession, sf_dir: str, train: DataFrame) -> list[Generation]:
+    path = _stored_model(spark, sf_dir, "minutes", lambda path: save_minutes(spark, fit_minutes(train), path))
+    return load_minutes(spark, path)
+
+
+def delay_minutes_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test rows with their predictions."""
     train, test = hash_split(_minutes_rows(spark, sf_dir))
-    return score_minutes(fit_minutes(train, rounds=QUERY_ROUNDS), test)
+    return score_minutes(_minutes_model(spark, sf_dir, train), test)
 
 
 def delay_minutes_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _minutes_scored(spark, sf_dir).select(S.KEY, "total_delay", "prediction")
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    return delay_minutes_scored(spark, sf_dir).select(
+        S.KEY, "total_delay", finite.cast("int").alias("prediction_is_finite")
+    )
 
 
 def delay_minutes_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return measure(_minutes_scored(spark, sf_dir), "total_delay", "prediction")
+    """The model's error on the test rows against that of the training rows' mean."""
+    train, test = hash_split(_minutes_rows(spark, sf_dir))
+    mean = train.agg(F.avg("total_delay")).first()[0]
+    scored = score_minutes(_minutes_model(spark, sf_dir, train), test)
+
+    def rmse(value: Column) -> Column:
+        return F.sqrt(F.avg((F.col("total_delay") - value) * (F.col("total_delay") - value)))
+
+    return scored.agg(
+        F.count("*").alias("n"),
+        F.round(rmse(F.lit(mean)), 6).alias("mean_rmse"),
+        (rmse(F.col("prediction")) < rmse(F.lit(mean))).cast("int").alias("beats_mean"),
+    )
 
 
 def warm_start_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two generations: train, store, load, go on, store, load, score."""
+    """Two generations: load the stored one, go on, store, load, score."""
     train, test = hash_split(_minutes_rows(spark, sf_dir))
-    path = scratch_path(spark, "minutes-model")
-    for _ in range(2):
-        save_minutes(spark, fit_minutes(train, load_minutes(spark, path), rounds=QUERY_ROUNDS), path)
-    scored = score_minutes(load_minutes(spark, path), test)
-    return scored.select(S.KEY, "total_delay", "prediction")
+    first = [Generation(generation.model) for generation in _minutes_model(spark, sf_dir, train)]
+    path = scratch_path(spark, "warm-model")
+    save_minutes(spark, fit_minutes(train, first), path)
+    both = load_minutes(spark, path)
+    scored = score_minutes(both, test)
+    for number, generation in enumerate(both):
+        scored = score_minutes([generation], scored, f"part_{number}")
+    parts = sum(F.col(f"part_{number}") for number in range(len(both)))
+    return scored.select(
+        S.KEY,
+        "total_delay",
+        F.lit(len(both)).alias("generations"),
+        (F.abs(F.col("prediction") - parts) < 1e-9).cast("int").alias("is_sum_of_parts"),
+    )
 
 
 def _types_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = hash_split(dropna_type(spark, sf_dir))
-    return score_types(fit_types(train, rounds=QUERY_ROUNDS), test)
+    path = _stored_model(spark, sf_dir, "types", lambda path: save_types(spark, fit_types(train), path))
+    return score_types(load_types(spark, path), test)
 
 
 def delay_type_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _types_scored(spark, sf_dir).select(S.KEY, *[predicted(label) for label in S.LABELS])
+    valid = reduce(and_, [F.col(predicted(label)).isin(0, 1) for label in S.LABELS])
+    return _types_scored(spark, sf_dir).select(S.KEY, *S.LABELS, valid.cast("int").alias("predictions_are_flags"))
 
 
 def delay_type_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_labels(_types_scored(spark, sf_dir), S.LABELS, [predicted(label) for label in S.LABELS])
+    """F1 of one rule per label on the test rows, and whether the models' micro average beats the rules'."""
+    names = [predicted(label) for label in S.LABELS]
+    ruled, _ = _ruled_types(spark, sf_dir)
+    rules = report_labels(ruled, S.LABELS, names).select("label", "support", F.col("f1").alias("rule_f1"))
+    models = report_labels(_types_scored(spark, sf_dir), S.LABELS, names).select("label", F.col("f1").alias("model_f1"))
+    beats = F.when(F.col("label") == "micro avg", (F.col("model_f1") > F.col("rule_f1")).cast("int"))
+    return rules.join(models, "label").select(
+        "label", "support", F.round("rule_f1", 6).alias("rule_f1"), beats.alias("models_beat_rules")
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolag import schema as S
+from aerolag.storage import stage
 
 
 def with_row_key(flights: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -26,8 +27,12 @@ def _ready(flights: DataFrame, key: list[str] | None) -> DataFrame:
 
 
 def flights_from_table(spark: SparkSession, name: str, key: list[str] | None = None) -> DataFrame:
-    """Flights from a catalog table."""
-    return _ready(spark.read.table(name), key)
+    """Flights from a catalog table, as it is now.
+
+    The columns needed are read once and staged: a table that changes between two reads
+    would give counts that do not fit its rows.
+    """
+    return stage(_ready(spark.read.table(name), key), "flights")
 
 
 def flights_from_parquet(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
@@ -49,7 +54,8 @@ def flights_from_jdbc(
 ) -> DataFrame:
     """Flights from a warehouse, read by ``partitions`` range queries on a numeric column.
 
-    The bounds only set the strides; rows outside them and NULLs are read as well.
+    The bounds only set the strides; rows outside them and NULLs are read as well. The
+    rows are staged, so that every later step sees the same ones.
     """
     reader = spark.read.format("jdbc").options(
         url=url,
@@ -62,4 +68,4 @@ def flights_from_jdbc(
         numPartitions=str(partitions),
         fetchsize="10000",
     )
-    return _ready(reader.load(), key)
+    return stage(_ready(reader.load(), key), "flights")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +28,44 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+#: Folder of the job that runs, if one does.
+_job: ContextVar[str | None] = ContextVar("job", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the folder of the running job, or the shared folder, that nothing else uses."""
+    root = shared_root(spark)
+    return f"{(_job.get() or root).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, on whatever file system it lies."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def job_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """Collect all that is staged meanwhile in one folder and remove it at the end, also after an error.
+
+    What a job returns must not read staged tables; ``held`` turns a small result into local rows.
+    """
+    if _job.get() is not None:
+        yield
+        return
+    path = scratch_path(spark, name)
+    token = _job.set(path)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        remove(spark, path)
+
+
+def held(df: DataFrame) -> DataFrame:
+    """A report of a fixed, small number of rows, computed now and kept by the driver."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
 def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

@@ -1,16 +1,21 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from aerolag import schema as S
 from aerolag.__main__ import main
 from aerolag.models.minutes import load_minutes
 from aerolag.models.types import load_types
+from aerolag.operators.encoding import frequency_encode
 from aerolag.operators.tables import drop_table, export_parquet, read_export, replace_table
 from aerolag.plans.delay_minutes import run_minutes
 from aerolag.plans.delay_type import run_type
 from aerolag.plans.run_all import JobPaths, run_all
+from aerolag.sources.flights import flights_from_table
 from aerolag.sources.order_flights import order_flights
 from aerolag.storage import scratch_path, shared_root
 
@@ -45,7 +50,7 @@ def test_run_all_twice(spark, flights):
     assert table.columns == ["id", S.KEY, *S.TYPE_COLUMNS]
     assert sorted(row["id"] for row in table.select("id").collect()) == list(range(1, kept + 1))
     assert len(load_minutes(spark, minutes.model_path)) == 2
-    assert len(load_types(types.model_path).stages) == 7
+    assert len(load_types(spark, types.model_path).stages) == 7
 
 
 def test_single_jobs_and_max_generations(spark, flights):
@@ -100,6 +105,44 @@ def test_tables(spark):
     assert not spark.catalog.tableExists("refreshed")
 
 
+def test_a_table_does_not_replace_what_it_reads(spark):
+    path = scratch_path(spark, "table")
+    table = replace_table(spark.range(3).toDF("v"), "own_input", path)
+    for source in (table, spark.read.parquet(path)):
+        with pytest.raises(ValueError, match="reads what it replaces"):
+            replace_table(source.filter("v > 0"), "own_input", path)
+    assert spark.read.table("own_input").count() == 3
+    drop_table(spark, "own_input")
+
+
+def test_counts_and_rows_come_from_one_state_of_a_table(spark, flights):
+    replace_table(spark.read.parquet(flights), "growing_source")
+    before = flights_from_table(spark, "growing_source")
+    rows = before.count()
+    spark.read.parquet(flights).withColumn("uniquecarrier", F.lit("NEW")).write.insertInto("growing_source")
+    encoded = frequency_encode(before, "uniquecarrier", "share")
+    shares = {row["uniquecarrier"]: row["share"] for row in encoded.select("uniquecarrier", "share").distinct().collect()}
+    counts = {row["uniquecarrier"]: row["count"] for row in before.groupBy("uniquecarrier").count().collect()}
+    assert shares == {carrier: n / rows for carrier, n in counts.items() if carrier is not None}
+    assert "NEW" not in shares and spark.read.table("growing_source").count() == 2 * rows
+    drop_table(spark, "growing_source")
+
+
+def staged(spark):
+    """What lies in the shared folder, but for Spark's own checkpoint folders."""
+    return {path.name for path in Path(shared_root(spark)).iterdir() if "-" in path.name and not path.name[:8].isalnum()}
+
+
+def test_jobs_leave_nothing_staged(spark, flights):
+    source = spark.read.parquet(flights)
+    minutes, types = job_paths(spark, "clean_minutes"), job_paths(spark, "clean_type")
+    before = staged(spark)
+    run_minutes(source, minutes.table, minutes.export_path, minutes.model_path, rounds=1)
+    run_type(source, types.table, types.export_path, types.model_path, rounds=1)
+    own = {Path(path).name for job in (minutes, types) for path in (job.export_path, job.model_path)}
+    assert staged(spark) - before - own == set()
+
+
 def test_export_leaves_no_old_files(spark):
     path = scratch_path(spark, "export")
     export_parquet(spark.range(0, 100, 1, 8), path)
