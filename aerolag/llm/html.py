@@ -46,7 +46,8 @@ _MARKUP = re.compile(
     r"""(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|$))""",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+# One attribute with all of its value, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*=\s*(?:"([^"]*)(?:"|$)|'([^']*)(?:'|$)|([^\s>"'][^\s>]*)))?""")
 _CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 _END_OF_RAW = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I) for tag in RAW}
 

@@ -90,6 +90,18 @@ def test_html(spark):
     assert sorted((r.page_id, r.text, r.n_chars) for r in found) == [(1, text, len(text)), (2, "", 0), (3, "", 0), (3, "", 0), (4, text, len(text))]
 
 
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', 'aria-hidden="false"', 'title="Hidden gems"', "data-x='a hidden b'", "data-hidden=hidden", 'title="a > hidden'])
+@pytest.mark.parametrize("tag", ["body", "div", "article"])
+def test_html_keeps_values_that_say_hidden(tag, attributes):
+    assert extract(f"<{tag} {attributes}><p>Some text of the page.</p></{tag}>", None).endswith("Some text of the page.")
+
+
+def test_html_attributes():
+    assert extract('<body><div width="600" id="comments"><p>I disagree</p></div><article><p>Text.</p></article></body>', None) == "Text."
+    for hidden in ("hidden", "HIDDEN", 'hidden=""', 'id="a"hidden', "class=a hidden/"):
+        assert extract(f"<body><div {hidden}><p>Not shown, however long it is.</p></div><p>Text.</p></body>", None) == "Text."
+
+
 def record(name: str, body: bytes) -> bytes:
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:{name}>\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body + b"\r\n\r\n"
