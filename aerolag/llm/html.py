@@ -3,7 +3,8 @@
 Every page scores the containers its text stands in. A container's path, its tags and classes with
 numbers taken out, gets the page's votes in proportion to the score. Spark sums up the votes per host;
 the path with most votes wins, and every page of the host is extracted again from the containers on it.
-A page without such a container keeps the one it scored best itself.
+A page without such a container keeps the one it scored best itself. What stands beside a container in
+the same article belongs to the text too.
 """
 
 from __future__ import annotations
@@ -160,6 +161,38 @@ class Page:
                 element = self.parent[element]
         return found
 
+    def whole(self, chosen: set[int]) -> set[int]:
+        """The elements that hold all of the article whose containers are ``chosen``.
+
+        That is the article or main around a container. Where there is none, it is the outermost ancestor
+        reached over steps on which the blocks that come in are not mostly links and no other article begins.
+        """
+        text, linked = [0.0] * len(self.tag), [0.0] * len(self.tag)
+        articles = [int(tag in ("article", "main")) for tag in self.tag]
+        for element, block, link_share in self.blocks:
+            if not self.out[element]:
+                text[element] += len(block)
+                linked[element] += len(block) * link_share
+        for element in range(len(self.tag) - 1, 0, -1):
+            above = self.parent[element]
+            if not self.out[element]:
+                text[above] += text[element]
+                linked[above] += linked[element]
+                articles[above] += articles[element]
+        found = set()
+        for element in chosen:
+            at = element
+            while at > 0 and self.tag[at] not in ("article", "main"):
+                at = self.parent[at]
+            if not at:
+                at = element
+                while (above := self.parent[at]) > 0 and articles[above] == articles[at]:
+                    if linked[above] - linked[at] > 0.5 * (text[above] - text[at]):
+                        break
+                    at = above
+            found.add(at)
+        return found
+
     def text_in(self, chosen: set[int]) -> str:
         """The blocks inside the chosen elements, in page order."""
         inside = [element in chosen for element in range(len(self.tag))]
@@ -181,7 +214,7 @@ def votes(source: str | None) -> dict[str, float]:
 
 
 def extract(source: str | None, path: str | None) -> str:
-    """Main text of a page from the containers on ``path``, or from its own best one."""
+    """Main text of a page: the whole article around the containers on ``path``, or around its own best one."""
     page = Page(source or "")
     scores = page.scores()
     chosen = {element for element in scores if page.path[element] == path and page.tag[element] in CONTAINERS}
@@ -189,7 +222,7 @@ def extract(source: str | None, path: str | None) -> str:
         chosen = {max(scores, key=lambda element: (scores[element], -element))}
     if not scores:
         return "\n".join(block for element, block, _ in page.blocks if not page.out[element])
-    return page.text_in(chosen)
+    return page.text_in(page.whole(chosen))
 
 
 def host_of(url: Column) -> Column:

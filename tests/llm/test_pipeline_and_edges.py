@@ -102,6 +102,23 @@ def test_html_attributes():
         assert extract(f"<body><div {hidden}><p>Not shown, however long it is.</p></div><p>Text.</p></body>", None) == "Text."
 
 
+def test_html_keeps_what_stands_beside_an_inner_container(spark):
+    inside = [f"Paragraph {i} " + "of the body of the text " * 20 for i in range(10)]
+    body = "".join(f"<p>{text}</p>" for text in inside)
+    parts = "<h1>Head</h1><p>Lead.</p><div class='body'>" + body + "</div><p>Closing.</p>"
+    text = "\n".join(["Head", "Lead.", *(part.strip() for part in inside), "Closing."])
+    links = "<div><a href='/1'>One link to elsewhere</a> <a href='/2'>Another one</a></div>"
+    pages = [
+        f"<body>{links}<article>{parts}</article>{links}<p>Beside.</p></body>",
+        f"<body>{links}<main>{parts}</main>{links}</body>",
+        f"<body>{links}<div id='w'><div>{parts}</div></div>{links}</body>",
+    ]
+    assert [extract(page, None) for page in pages] == [text] * 3
+    rows = [(i, "http://h.example/", pages[0]) for i in range(3)]
+    found = main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert [r.text for r in found] == [text] * 3
+
+
 def record(name: str, body: bytes) -> bytes:
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:{name}>\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body + b"\r\n\r\n"
