@@ -41,6 +41,12 @@ NAMES = set(
     " pager header masthead footer copyright comment comments respond disqus discussion reply replies social share sharing"
     " related recommended widget newsletter subscribe subscription signup login search toolbar".split()
 )
+#: Those of them that readers' comments stand under.
+COMMENTS = {"comment", "comments", "respond", "disqus", "discussion", "reply", "replies"}
+#: Before a name, these say what an element around others has, not what it is.
+MODIFIERS = {"has", "have", "with", "without", "no", "not", "is", "hide", "show"}
+#: Comments are left out beside an article of so many characters, or of as many as they have.
+ARTICLE_CHARS = 200
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
@@ -53,11 +59,23 @@ _CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 _END_OF_RAW = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I) for tag in RAW}
 
 
+def _names(classes: str, id: str) -> set[str]:
+    """Names that classes or an id are, begin with or, unless a modifier goes before, end with."""
+    found = set()
+    for token in f"{classes} {id}".lower().split():
+        parts = re.findall("[a-z]+", token)
+        if parts:
+            found.add(parts[0])
+            if MODIFIERS.isdisjoint(parts):
+                found.add(parts[-1])
+    return found & NAMES
+
+
 class Page:
     """Elements of a page in order, as parallel lists, and its blocks of text with the element they stand in."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.named = [-1], [""], [""], [False]
+        self.parent, self.tag, self.path, self.named = [-1], [""], [""], [set()]
         self.tagged_out = [False]
         self.blocks: list[tuple[int, str, float]] = []
         self._parse(source)
@@ -69,12 +87,11 @@ class Page:
             for name, double, single, bare in _ATTRIBUTE.findall(attributes):
                 found.setdefault(name.lower(), html.unescape(double or single or bare))
         classes = sorted({re.sub("[0-9]+", "#", name.lower()) for name in found.get("class", "").split()})
-        words = set(re.findall("[a-z]+", f"{found.get('class', '')} {found.get('id', '')}".lower()))
         self.parent.append(parent)
         self.tag.append(tag)
         step = ".".join([tag, *classes])
         self.path.append(f"{self.path[parent]}/{step}" if tag in CONTAINERS else self.path[parent])
-        self.named.append(bool(words & NAMES) and tag not in ("html", "body"))
+        self.named.append(set() if tag in ("html", "body") else _names(found.get("class", ""), found.get("id", "")))
         self.tagged_out.append(tag in LEFT_OUT or found.get("role", "").lower() in ROLES or "hidden" in found)
         return len(self.parent) - 1
 
@@ -138,14 +155,53 @@ class Page:
         flush()
 
     def _decide(self) -> None:
-        """Which elements are left out: those named for it unless the article stands in them, and all inside."""
-        holds = [tag in ("article", "main", "h1") for tag in self.tag]
-        for element in range(len(self.tag) - 1, 0, -1):
-            holds[self.parent[element]] |= holds[element]
-        self.out = [False] * len(self.tag)
-        for element in range(1, len(self.tag)):
-            own = self.tagged_out[element] or (self.named[element] and not holds[element])
-            self.out[element] = self.out[self.parent[element]] or own
+        """Which elements are left out, with all inside: those tagged so, and those named for it.
+
+        A named element stays if the article stands in it, or most of the page's unlinked text and no
+        article beside it. One named for comments is no article, and stays only where no article of
+        some length is found outside it. A page that has no article and would lose all of its text
+        this way loses nothing by names.
+        """
+        size = len(self.tag)
+        comment = [bool(names & COMMENTS) for names in self.named]
+        article = [int(tag in ("article", "main") and not own) for tag, own in zip(self.tag, comment)]
+        holds = [bool(own) or tag == "h1" for own, tag in zip(article, self.tag)]
+        tagged_out, inside_article, inside_comment = list(self.tagged_out), list(article), list(comment)
+        around = [0] * size
+        for element in range(1, size):
+            above = self.parent[element]
+            tagged_out[element] |= tagged_out[above]
+            inside_article[element] |= inside_article[above]
+            inside_comment[element] |= inside_comment[above]
+            around[element] = around[above] + (article[above] and not inside_comment[above])
+        text, within = [0.0] * size, [int(own and not hidden and not said) for own, hidden, said in zip(article, tagged_out, inside_comment)]
+        outside = 0.0
+        for element, block, link_share in self.blocks:
+            if not tagged_out[element]:
+                text[element] += len(block) * (1 - link_share)
+                if inside_article[element] and not inside_comment[element] and not re.fullmatch("h[1-6]", self.tag[element]):
+                    outside += len(block) * (1 - link_share)
+        for element in range(size - 1, 0, -1):
+            above = self.parent[element]
+            text[above] += text[element]
+            within[above] += within[element]
+            holds[above] |= holds[element]
+        self.out, stays = [False] * size, [False] * size
+        for element in range(1, size):
+            above = self.parent[element]
+            most = 2 * text[element] > text[0]
+            beside = within[0] - within[element] - around[element]
+            if comment[element]:
+                stays[element] = stays[above] or (
+                    (holds[element] or most) and not beside and outside < min(ARTICLE_CHARS, text[element])
+                )
+                named = not stays[element]
+            else:
+                stays[element] = stays[above]
+                named = bool(self.named[element]) and not holds[element] and not (most and not beside)
+            self.out[element] = self.out[above] or tagged_out[element] or named
+        if not within[0] and all(self.out[element] for element, _, _ in self.blocks):
+            self.out = tagged_out
 
     def scores(self) -> dict[int, float]:
         """Score of every container with text."""
@@ -254,7 +310,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page (page_id, url, html).
 
-    A null or empty html, and a page of nothing but what is left out, has an empty text. Pages whose
+    A null or empty html, and a page of nothing but what is left out by its tags, has an empty text. Pages whose
     URL is null or has no host vote as one host. The winning paths are broadcast while they are small, and
     joined by host beyond that.
     """

@@ -119,6 +119,45 @@ def test_html_keeps_what_stands_beside_an_inner_container(spark):
     assert [r.text for r in found] == [text] * 3
 
 
+LONG = "Some words of the text. " * 30
+
+
+@pytest.mark.parametrize("attributes", ['class="layout has-sidebar"', 'class="post with-comments"', 'id="search-result"', 'class="search"'])
+def test_html_keeps_named_elements_that_hold_the_page(attributes):
+    text = f"Head\n{LONG.strip()}"
+    page = f"<nav>menu</nav><div {attributes}><h2>Head</h2><p>{LONG}</p></div><footer>f</footer>"
+    assert extract(f"<body>{page}</body>", None) == text
+    assert extract(f"<body><main>{page}</main></body>", None) == text
+
+
+def test_html_keeps_modified_names_and_drops_others():
+    page = f"<article><h1>H</h1><div class='part has-sidebar'><p>Small.</p></div><p>{LONG}</p></article>"
+    assert extract(f"<body>{page}</body>", None) == f"H\nSmall.\n{LONG.strip()}"
+    for name in ("ad", "ad-top", "site-footer", "sidebar left", "comments_area"):
+        assert extract(f"<body><div class='{name}'><p>{LONG}{LONG}</p></div>{page}</body>", None) == f"H\nSmall.\n{LONG.strip()}"
+    assert extract("<body><div class='widget'>One.</div><div class='widget'>Two.</div></body>", None) == "One.\nTwo."
+
+
+@pytest.mark.parametrize("comments", [
+    "<ol class='comments'>" + f"<li><article class='comment-body'><p>I disagree. {LONG}</p></article></li>" * 3 + "</ol>",
+    f"<section id='comments'><article><p>I disagree. {LONG * 3}</p></article></section>",
+    "<article class='comment'><p>No.</p></article>" * 3,
+])
+def test_html_drops_comments_marked_as_articles(comments):
+    article = f"<h1>Head</h1><p>{LONG}</p>"
+    text = f"Head\n{LONG.strip()}"
+    assert extract(f"<body><article>{article}</article>{comments}</body>", None) == text
+    assert extract(f"<body><article>{article}{comments}</article></body>", None) == text
+    assert extract(f"<body><main>{article}{comments}</main></body>", None) == text
+
+
+def test_html_keeps_a_page_of_comments():
+    posts = "".join(f"<article class='comment'><p>Post {i}. {LONG}</p></article>" for i in range(3))
+    text = "\n".join(f"Post {i}. {LONG.strip()}" for i in range(3))
+    assert extract(f"<body><nav>menu</nav><div class='discussion'>{posts}</div></body>", None) == text
+    assert extract(f"<body><nav>menu</nav><div class='thread'>{posts}</div></body>", None) == text
+
+
 def record(name: str, body: bytes) -> bytes:
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x:{name}>\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body + b"\r\n\r\n"
