@@ -92,9 +92,9 @@ class Patterns:
 class Benchmark:
     """Windows of some items, by length, and the items each window is in."""
 
-    def __init__(self, items: list[tuple[str, str | None]]):
+    def __init__(self, items: list[tuple[str | None, str | None]]):
         self.number: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str]] = {}
+        windows: dict[tuple[int, ...], set[str | None]] = {}
         for item, text in items:
             numbers = [self.number.setdefault(word, len(self.number) + 1) for word in words(text)]
             length = min(WINDOW_WORDS, len(numbers))
@@ -104,9 +104,9 @@ class Benchmark:
         for length in sorted({len(window) for window in windows}):
             chosen = [window for window in windows if len(window) == length]
             self.patterns.append(Patterns(length, np.array(chosen, dtype=np.int64)))
-            self.items.append([sorted(windows[window]) for window in chosen])
+            self.items.append([list(windows[window]) for window in chosen])
 
-    def search(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
+    def search(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str | None]]]:
         """For each text the word spans that occurrences start and end at (exclusive), and the items."""
         numbers = [np.fromiter(map(self.number.get, text, repeat(0)), np.int64, len(text)) for text in texts]
         # A zero, which no pattern holds, after each text keeps occurrences inside.
@@ -134,7 +134,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _search_block(documents: DataFrame, items: list[tuple[str, str | None]]) -> DataFrame:
+def _search_block(documents: DataFrame, items: list[tuple[str | None, str | None]]) -> DataFrame:
     """Add what one block of the benchmark finds to the columns ``_n_words``, ``_spans``, ``_items``."""
     kept = [name for name in documents.columns if name not in ("_n_words", "_spans", "_items")]
     shared = documents.sparkSession.sparkContext.broadcast(items)
@@ -147,7 +147,7 @@ def _search_block(documents: DataFrame, items: list[tuple[str, str | None]]) ->
             spans, items = batch.column("_spans").to_pylist(), batch.column("_items").to_pylist()
             for i, (more, found) in enumerate(benchmark.search(texts)):
                 spans[i] = _merged([(s["start"], s["end"]) for s in spans[i]] + more)
-                items[i] = sorted(found.union(items[i]))
+                items[i] = sorted(found.union(items[i]), key=lambda item: (item is None, item))
             spans = [[{"start": s, "end": e} for s, e in row] for row in spans]
             columns = [batch.column(name) for name in kept]
             columns += [pa.array(map(len, texts), pa.int64()), pa.array(spans, spans_type), pa.array(items, pa.list_(pa.string()))]
@@ -162,12 +162,13 @@ def _search_block(documents: DataFrame, items: list[tuple[str, str | None]]) ->
 def find_benchmark(documents: DataFrame, benchmark: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of every document with n_words, spans (word places) and items (ids as sorted strings) found in it.
 
-    A null or empty text has no words. Items without an id or without words are not searched for;
-    several rows of one item count as one. An empty benchmark finds nothing. The benchmark is taken in
-    blocks of about ``BENCHMARK_BLOCK_BYTES``, by a hash of the item, each searched in the same pass.
+    A null or empty text has no words. Items without words are not searched for; several rows of one item
+    count as one. Items without an id are searched for like any other and are one null, the last, in items.
+    An empty benchmark finds nothing. The benchmark is taken in blocks of about ``BENCHMARK_BLOCK_BYTES``,
+    by a hash of item and text, each searched in the same pass.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    items = items.filter("item IS NOT NULL AND text IS NOT NULL")
+    items = items.filter("text IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BENCHMARK_BLOCK_BYTES))
     # The columns kept are packed under one name, so that no given name clashes with those added here.
@@ -179,13 +180,16 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, columns: list[str
         F.expr("CAST(array() AS array<string>)").alias("_items"),
     )
     for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
+        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
         found = _search_block(found, [(row["item"], row["text"]) for row in part])
     return found.select(*[F.col(f"_row.`{name}`") for name in columns], F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document.
+
+    Items without an id count as one in n_items; items_sha256 is taken over the ids there are.
+    """
     found = find_benchmark(documents, benchmark, ["doc_id"])
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
     return found.select(

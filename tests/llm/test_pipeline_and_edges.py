@@ -2,13 +2,15 @@
 
 import random
 
+import duckdb
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aerolag.llm import pii, queries, stages
+from aerolag.llm import oracles, pii, queries, stages
 from aerolag.llm.caps import near_duplicate_vectors
+from aerolag.llm.decontamination import contamination
 from aerolag.llm.html import extract, main_texts
 from aerolag.llm.language import identify_documents
 from aerolag.llm.warc import Gap, archive_round_trip, salvage
@@ -74,6 +76,22 @@ def test_language(spark):
     assert {r.doc_id for r in odd.filter("lang_pred = 'und'").collect()} == {28, 29, 30, 34}
 
 
+def test_benchmark_items_without_an_id(spark, tmp_path):
+    item, other = " ".join(f"i{k}" for k in range(14)), " ".join(f"o{k}" for k in range(12))
+    rows = [(1, f"a b {item} c"), (2, f"{other} and {item}"), (3, f"z {other}"), (4, "nothing"), (5, "tiny thing"), (6, None)]
+    items = [(None, item), (None, "thing"), (7, other), (8, other), (None, None)]
+    docs, benchmark = documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = sorted(tuple(r) for r in contamination(docs, benchmark).collect())
+    assert [(r[0], r[2], r[3], r[5]) for r in found] == [(1, 14, 1, True), (2, 26, 3, True), (3, 12, 2, True), (4, 0, 0, False), (5, 1, 1, True), (6, 0, 0, False)]
+    duck = duckdb.connect()
+    duck.register("documents", docs.select("doc_id", "text").toPandas().astype({"text": object}))
+    duck.register("benchmark", duck.read_parquet(f"{tmp_path}/benchmark.parquet/*.parquet"))
+    assert sorted(duck.sql(oracles.OP3_DECONTAMINATION).fetchall()) == found
+    kept = stages.decontamination(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [4, 6]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">menu</a></li></ul></nav><div class="cookie-notice">We use cookies</div><div class="ad">Buy</div>
 <article><h1>Head &amp; more</h1><p>First   <b>bold</b>
