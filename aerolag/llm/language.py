@@ -115,10 +115,11 @@ def learn_prototypes(documents: DataFrame) -> dict[str, np.ndarray]:
 
 
 def identify(documents: DataFrame, prototypes: dict[str, np.ndarray], columns: list[str]) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to ``columns`` of ``documents``, from ``text`` alone.
+    """Add ``lang_pred``, ``score`` and ``has_letters`` to ``columns`` of ``documents``, from ``text`` alone.
 
     A null or empty text, one without letters, or no prototypes at all: ``und`` with score 0. Of
     equal cosines the first language in alphabetical order wins; a negative cosine scores 0.
+    ``has_letters`` tells texts without a letter from those ``und`` for another reason.
     """
     languages = sorted(prototypes)
     matrix = np.array([prototypes[lang] for lang in languages])
@@ -126,7 +127,7 @@ def identify(documents: DataFrame, prototypes: dict[str, np.ndarray], columns: l
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
         for batch in slices(batches):
-            names, scores = [], []
+            names, scores, lettered = [], [], []
             for text in batch.column(len(columns)).to_pylist():
                 codes, counts = np.unique(grams(text), return_counts=True)
                 name, score = UNDETERMINED, 0.0
@@ -137,14 +138,16 @@ def identify(documents: DataFrame, prototypes: dict[str, np.ndarray], columns: l
                     name, score = languages[best], float(min(1.0, max(0.0, cosines[best])))
                 names.append(name)
                 scores.append(score)
+                lettered.append(len(codes) > 0)
             kept = [batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*columns, "lang_pred", "score"]
+                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lettered, pa.bool_())],
+                [*columns, "lang_pred", "score", "has_letters"],
             )
 
     rows = documents.select(*columns, F.col("text").cast("string").alias("_text_to_read"))
     schema = ", ".join(f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in columns)
-    return map_arrow(rows, predict, f"{schema}, lang_pred string, score double")
+    return map_arrow(rows, predict, f"{schema}, lang_pred string, score double, has_letters boolean")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -156,4 +159,4 @@ def identify_documents(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row, learned from the rows not held out."""
     rows = documents.select("doc_id", "text", "lang", held_out().alias("held_out"))
     prototypes = learn_prototypes(rows.filter("NOT held_out"))
-    return identify(rows, prototypes, ["doc_id", "held_out"])
+    return identify(rows, prototypes, ["doc_id", "held_out"]).drop("has_letters")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aerolag.llm import decontamination as leaks
 from aerolag.llm import jaccard, pii
-from aerolag.llm.language import UNDETERMINED, held_out, identify, learn_prototypes
+from aerolag.llm.language import held_out, identify, learn_prototypes
 from aerolag.llm.packing import pack_documents
 from aerolag.llm.tables import small_side, table
 from aerolag.storage import stage
@@ -20,9 +20,12 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without one (null, empty, or no letter) go."""
+    """Documents with a text of some language; those with none (null, empty, or no letter) go.
+
+    Where no document has a label there is nothing to tell languages by, and those with a letter stay as well.
+    """
     prototypes = learn_prototypes(docs.filter(~held_out()))
-    return identify(_packed(docs), prototypes, ["_row"]).filter(F.col("lang_pred") != UNDETERMINED).select("_row.*")
+    return identify(_packed(docs), prototypes, ["_row"]).filter("has_letters").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

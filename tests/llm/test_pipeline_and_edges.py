@@ -76,6 +76,16 @@ def test_language(spark):
     assert {r.doc_id for r in odd.filter("lang_pred = 'und'").collect()} == {28, 29, 30, 34}
 
 
+@pytest.mark.parametrize("label", [None, "und"])
+def test_language_stage_rejects_by_letters_alone(spark, label):
+    rows = [(i, "some words of a text") for i in range(8)] + [(20, "123 !!"), (21, None), (22, ""), (23, "x")]
+    docs = documents(spark, rows).withColumn("lang", F.lit(label).cast("string"))
+    kept = stages.language(spark, docs, SMALL)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [*range(8), 23]
+    found = identify_documents(docs)
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score"] and {r.lang_pred for r in found.collect()} == {"und"}
+
+
 def test_benchmark_items_without_an_id(spark, tmp_path):
     item, other = " ".join(f"i{k}" for k in range(14)), " ".join(f"o{k}" for k in range(12))
     rows = [(1, f"a b {item} c"), (2, f"{other} and {item}"), (3, f"z {other}"), (4, "nothing"), (5, "tiny thing"), (6, None)]
