@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.llm.components import connected_components
@@ -49,22 +49,22 @@ def _links(overlap: np.ndarray, size: np.ndarray) -> np.ndarray:
     return LINK[1] * overlap >= LINK[0] * (size - overlap)
 
 
-def set_members(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and set_key (null for an empty set) of every document."""
+def set_members(documents: DataFrame, names: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``names``, n_shingles and set_key (null for an empty set) of every document."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingle_set(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(map(len, sets), pa.int64()),
+                    *map(batch.column, names), pa.array(map(len, sets), pa.int64()),
                     pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "set_key"],
+                [*names, "n_shingles", "set_key"],
             )
 
-    id_type = documents.schema["doc_id"].dataType.simpleString()
-    return map_arrow(documents, read, f"doc_id {id_type}, n_shingles long, set_key long")
+    kept = ", ".join(f"`{name}` {documents.schema[name].dataType.simpleString()}" for name in names)
+    return map_arrow(documents, read, f"{kept}, n_shingles long, set_key long")
 
 
 def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, str]]:
@@ -334,6 +334,14 @@ def set_links(documents: DataFrame, members: DataFrame) -> DataFrame:
     return chains.unionByName(map_arrow(dealt, _derived, "a long, b long"))
 
 
+def _classes(rows: DataFrame, members: DataFrame, least: Column) -> DataFrame:
+    """set_key, least (of its members) and label of every set; sets that links join have one label."""
+    known = connected_components(set_links(rows, members))
+    classes = members.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min(least).alias("least"))
+    label = F.coalesce("component", "set_key").alias("label")
+    return classes.join(known, classes["set_key"] == known["node"], "left").select("set_key", "least", label)
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document (doc_id, text).
 
@@ -344,12 +352,24 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     """
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     members = stage(set_members(rows), "members")
-    known = connected_components(set_links(rows, members))
-    classes = members.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("least"))
-    label = F.coalesce("component", "set_key").alias("label")
-    classes = classes.join(known, classes["set_key"] == known["node"], "left").select("set_key", "least", label)
+    classes = _classes(rows, members, F.col("doc_id"))
     smallest = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     named = classes.join(smallest, "label").select("set_key", "component_id")
     with_set = members.filter("set_key IS NOT NULL").join(named, "set_key").select("doc_id", "n_shingles", "component_id")
     without = members.filter("set_key IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_set.unionByName(without)
+
+
+def superfluous(documents: DataFrame) -> DataFrame:
+    """row_key of all documents (row_key, doc_id, text) but one of each group of near-duplicates.
+
+    The one with the smallest doc_id is not listed, of several the one with the smallest row_key; a
+    null doc_id comes last. A document without shingles is a group of its own. Row keys are distinct and the
+    same in every reading of ``documents``.
+    """
+    rows = documents.select("row_key", "doc_id", F.col("text").cast("string").alias("text"))
+    members = stage(set_members(rows, ("row_key", "doc_id")), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    stays = _classes(rows, members, order).groupBy("label").agg(F.min("least").alias("least"))
+    stays = stays.select(F.col("least.row_key").alias("row_key"))
+    return members.filter("set_key IS NOT NULL").select("row_key").join(stays, "row_key", "left_anti")

@@ -29,21 +29,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id.
+    """One document of each group of near-duplicates: the one with the smallest doc_id, one without an id only
+    where all are; of several rows with that id one.
 
-    A document without shingles is a group of its own. Rows of one doc_id stay or go together, equal
-    ones of them as one; rows without a doc_id stay, equal ones as one.
+    A document without shingles is a group of its own.
     """
-    found = jaccard.near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id")
-    found = found.agg(F.bool_or(F.col("component_id") == F.col("doc_id")).alias("stays"), F.count("*").alias("n"))
-    gone = stage(found.filter("NOT stays").select("doc_id"), "gone")
-    repeated = stage(found.filter("stays AND n > 1").select("doc_id"), "repeated")
-    kept = docs.join(small_side(gone), "doc_id", "left_anti")
-    several = small_side(repeated)
-    once = kept.filter("doc_id IS NOT NULL").join(several, "doc_id", "left_anti")
-    # Few rows share an id as a rule; only those are compared by their text.
-    equal = kept.join(several, "doc_id", "left_semi").unionByName(kept.filter("doc_id IS NULL"))
-    return once.unionByName(equal.dropDuplicates(["doc_id", "text"])).select(*docs.columns)
+    # Written down, so that a row has the same key whenever it is read.
+    row_key = F.monotonically_increasing_id().alias("row_key")
+    keyed = stage(docs.select(F.struct(*docs.columns).alias("_row"), row_key), "keyed")
+    gone = stage(jaccard.superfluous(keyed.select("row_key", "_row.doc_id", "_row.text")), "gone")
+    return keyed.join(small_side(gone), "row_key", "left_anti").select("_row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

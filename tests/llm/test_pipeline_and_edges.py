@@ -1,6 +1,7 @@
 """Stages and edge cases: empty tables, nulls, planted cases, salvage, held-out accuracy."""
 
 import random
+from collections import Counter
 
 import duckdb
 import public_tokenizers
@@ -86,6 +87,19 @@ def test_language_stage_rejects_by_letters_alone(spark, label):
     assert found.columns == ["doc_id", "held_out", "lang_pred", "score"] and {r.lang_pred for r in found.collect()} == {"und"}
 
 
+def test_near_duplicates_keep_one_row_of_each_group(spark):
+    rng = random.Random(4)
+    prose = lambda: " ".join(str(rng.random()) for _ in range(80))
+    a, b, c, d, e = (prose() for _ in range(5))
+    rows = [(1, a), (None, a), (None, f"{a} more"), (None, b), (None, f"{b} more"), (None, b)]
+    rows += [(3, c), (3, f"{c} more"), (3, d), (4, f"{d} more"), (5, c), (6, e), (7, None), (None, None), (7, "")]
+    docs = documents(spark, rows).repartition(5)
+    kept = stages.near_duplicates(spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text and r.text.removesuffix(" more")) for r in kept.collect()]
+    assert Counter(kept) == Counter([(1, a), (None, b), (3, c), (3, d), (6, e), (7, None), (None, None), (7, "")])
+
+
 def test_benchmark_items_without_an_id(spark, tmp_path):
     item, other = " ".join(f"i{k}" for k in range(14)), " ".join(f"o{k}" for k in range(12))
     rows = [(1, f"a b {item} c"), (2, f"{other} and {item}"), (3, f"z {other}"), (4, "nothing"), (5, "tiny thing"), (6, None)]
