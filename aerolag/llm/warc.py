@@ -1,9 +1,9 @@
 """WARC archives: writing with revisit records, and a reader that salvages damaged files.
 
 The reader walks an archive record by record. A record is good if its version line, headers, lengths,
-closing line breaks and digest hold; a gzip member must also inflate and pass its own check. After a
-failed check the reader searches on for the next member or version line that starts a good record,
-goes on from there, and logs the bytes between as quarantined.
+closing line breaks and digest hold. After a failed check the reader searches on for the next member or
+version line that starts a good record, goes on from there, and logs the bytes between as quarantined.
+A gzip member is searched the same way in what it inflates to, and a damaged one as far as it inflates.
 """
 
 from __future__ import annotations
@@ -26,12 +26,16 @@ RECORDS_PER_FILE = 4000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 END = b"\r\n\r\n"
-_START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
+MAGIC = b"\x1f\x8b\x08"
+#: Compressed bytes inflated at a time.
+CHUNK = 64 * 1024
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_START = re.compile(_VERSION.pattern + b"|" + MAGIC)
 
 
 @dataclass(frozen=True)
 class Gap:
-    """Bytes no good record covers."""
+    """Bytes no good record covers; those inside a gzip member are named by the reason, at the member's offset."""
 
     offset: int
     length: int
@@ -52,8 +56,8 @@ class Damaged(ValueError):
 
 def _parse(data: bytes, at: int) -> Record:
     """The plain record that starts at ``at``, or ``Damaged``."""
-    version = _START.match(data, at)
-    if not version or data[at : at + 5] != b"WARC/":
+    version = _VERSION.match(data, at)
+    if not version:
         raise Damaged("no version line")
     end = data.find(END, at)
     if end < 0:
@@ -77,32 +81,85 @@ def _parse(data: bytes, at: int) -> Record:
     return Record(at, start + int(size) + 4 - at, headers, payload)
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """What the gzip member at ``at`` holds, and its compressed length."""
-    inflate = zlib.decompressobj(31)
-    try:
-        plain = inflate.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise Damaged("gzip member is damaged") from error
-    if not inflate.eof:
-        raise Damaged("gzip member is cut")
-    return plain, len(data) - at - len(inflate.unused_data)
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` inflates to, its compressed length, and what is wrong with it."""
+    inflate, view, place, parts = zlib.decompressobj(31), memoryview(data), at, []
+    while place < len(data) and not inflate.eof:
+        before = inflate.copy()
+        try:
+            parts.append(inflate.decompress(view[place : place + CHUNK]))
+        except zlib.error:
+            # Up to the byte that does not inflate.
+            for byte in range(place, min(place + CHUNK, len(data))):
+                try:
+                    parts.append(before.decompress(view[byte : byte + 1]))
+                except zlib.error:
+                    break
+            return b"".join(parts), 0, "gzip member is damaged"
+        place = min(place + CHUNK, len(data))
+    return b"".join(parts), place - len(inflate.unused_data) - at, "" if inflate.eof else "gzip member is cut"
+
+
+def _consumed(data: bytes, at: int, size: int) -> int:
+    """How many bytes of the gzip member at ``at`` inflate to its first ``size``."""
+    inflate, view, place, done = zlib.decompressobj(31), memoryview(data), at, 0
+    while True:
+        before = inflate.copy()
+        try:
+            more = len(inflate.decompress(view[place : place + CHUNK]))
+        except zlib.error:
+            break
+        if done + more >= size:
+            break
+        done, place = done + more, place + CHUNK
+    while done < size:
+        done += len(before.decompress(view[place : place + 1]))
+        place += 1
+    return place - at
+
+
+def _plain_pieces(data: bytes) -> Iterator[Record | Gap]:
+    """The good records of plain bytes in order, and the gaps between them."""
+    at, bad_from, reason = 0, None, ""
+    while at < len(data):
+        try:
+            record = _parse(data, at)
+        except Damaged as error:
+            if bad_from is None:
+                bad_from, reason = at, str(error)
+            later = _VERSION.search(data, at + 1)
+            at = later.start() if later else len(data)
+            continue
+        if bad_from is not None:
+            yield Gap(bad_from, at - bad_from, reason)
+            bad_from = None
+        yield record
+        at += record.length
+    if bad_from is not None:
+        yield Gap(bad_from, len(data) - bad_from, reason)
 
 
-def _records_at(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The good records of the member or the one plain record at ``at``, and where they end."""
-    if data[at : at + 3] != b"\x1f\x8b\x08":
+def _pieces_at(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]:
+    """The good records and gaps of the member or the one plain record at ``at``, where they end, and what is wrong there."""
+    if not data.startswith(MAGIC, at):
         record = _parse(data, at)
-        return [record], at + record.length
-    plain, length = _member(data, at)
-    found, inside = [], 0
-    while inside < len(plain):
-        record = _parse(plain, inside)
-        inside += record.length
-        found.append(Record(at, length, record.headers, record.payload))
-    if not found:
-        raise Damaged("empty gzip member")
-    return found, at + length
+        return [record], at + record.length, ""
+    plain, length, wrong = _inflate(data, at)
+    pieces = list(_plain_pieces(plain))
+    if not any(isinstance(piece, Record) for piece in pieces):
+        raise Damaged(wrong or (pieces[0].reason if pieces else "empty gzip member"))
+    if wrong:
+        # What follows the last good record is searched again, as another member may begin there.
+        if isinstance(pieces[-1], Gap):
+            pieces.pop()
+        length = _consumed(data, at, pieces[-1].offset + pieces[-1].length)
+    found: list[Record | Gap] = []
+    for piece in pieces:
+        if isinstance(piece, Gap):
+            found.append(Gap(at, length, f"{piece.reason} (inflated bytes {piece.offset} to {piece.offset + piece.length})"))
+        else:
+            found.append(Record(at, length, piece.headers, piece.payload))
+    return found, at + length, f"{wrong} (member at {at})" if wrong else ""
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
@@ -110,7 +167,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
     at, bad_from, reason = 0, None, ""
     while at < len(data):
         try:
-            found, end = _records_at(data, at)
+            found, end, wrong = _pieces_at(data, at)
         except Damaged as error:
             if bad_from is None:
                 bad_from, reason = at, str(error)
@@ -122,6 +179,10 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
             bad_from = None
         yield from found
         at = end
+        if wrong:
+            bad_from, reason = at, wrong
+            later = _START.search(data, at)
+            at = later.start() if later else len(data)
     if bad_from is not None:
         yield Gap(bad_from, len(data) - bad_from, reason)
 

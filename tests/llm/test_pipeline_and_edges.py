@@ -1,5 +1,6 @@
 """Stages and edge cases: empty tables, nulls, planted cases, salvage, held-out accuracy."""
 
+import gzip
 import random
 from collections import Counter
 
@@ -218,6 +219,37 @@ def test_salvage():
     assert list(salvage(b"")) == []
 
 
+def test_salvage_inside_gzip():
+    rng = random.Random(6)
+    bodies = [rng.randbytes(3000) + b"%d" % i for i in range(60)]
+    parts = [record(str(i), body) for i, body in enumerate(bodies)]
+    whole = gzip.compress(b"".join(parts))
+    good = lambda data: [f.payload for f in salvage(data) if not isinstance(f, Gap)]
+    gaps = lambda data: [f for f in salvage(data) if isinstance(f, Gap)]
+    assert good(whole) == bodies and not gaps(whole)
+    # One record in the middle is bad, the member is sound; a plain record stands before it.
+    bad = [*parts[:30], parts[30].replace(b"Content-Length: ", b"Content-Length: z"), *parts[31:]]
+    inner = parts[0] + gzip.compress(b"".join(bad))
+    assert good(inner) == [bodies[0], *bodies[:30], *bodies[31:]]
+    assert [g.offset for g in gaps(inner)] == [len(parts[0])] and "inflated bytes" in gaps(inner)[0].reason
+    # Cut, also with another member after the cut.
+    for after in ([], bodies[:2]):
+        cut = whole[: len(whole) // 2] + b"".join(gzip.compress(record("x", body)) for body in after)
+        found = good(cut)
+        n = len(found) - len(after)
+        assert 20 < n < 31 and found == bodies[:n] + after
+        assert [g.reason for g in gaps(cut)][0].startswith("gzip member is") and len(gaps(cut)) == 1
+    # Damaged: the check at the end fails, and bytes that do not inflate.
+    assert good(whole[:-8] + bytes(8) + parts[0]) == [*bodies, bodies[0]]
+    text = [record(str(i), b"%d " % i * 900) for i in range(900)]
+    squeezed = gzip.compress(b"".join(text))
+    broken = squeezed[: len(squeezed) // 2] + b"\xff" * 400 + squeezed[len(squeezed) // 2 + 400 :]
+    found = good(broken)
+    assert len(found) > 300 and found[:300] == [b"%d " % i * 900 for i in range(300)] and gaps(broken)
+    stored = gzip.compress(b"".join(parts[:9]), 0)
+    assert good(stored[:-5000]) == bodies[:7]
+
+
 def test_archives(spark):
     big = "é\r\n\x00WARC/1.1\r\n" * 200
     rows = [(1, "u", big), (2, None, big), (7, "u", big), (3, "a\nb", None), (4, "", ""), (5, "x", "short"), (6, "x", "short"), (8, "x", big + " ")]
