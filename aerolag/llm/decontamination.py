@@ -14,10 +14,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.llm.tables import map_arrow, slices
+from aerolag.storage import remove, scratch_path, stage
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 3
@@ -134,10 +136,9 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _search_block(documents: DataFrame, items: list[tuple[str | None, str | None]]) -> DataFrame:
+def _search_block(documents: DataFrame, shared: Broadcast) -> DataFrame:
     """Add what one block of the benchmark finds to the columns ``_n_words``, ``_spans``, ``_items``."""
     kept = [name for name in documents.columns if name not in ("_n_words", "_spans", "_items")]
-    shared = documents.sparkSession.sparkContext.broadcast(items)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark = Benchmark(shared.value)
@@ -164,11 +165,15 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, columns: list[str
 
     A null or empty text has no words. Items without words are not searched for; several rows of one item
     count as one. Items without an id are searched for like any other and are one null, the last, in items.
-    An empty benchmark finds nothing. The benchmark is taken in blocks of about ``BENCHMARK_BLOCK_BYTES``,
-    by a hash of item and text, each searched in the same pass.
+    An empty benchmark finds nothing.
+
+    A benchmark beyond ``BENCHMARK_BLOCK_BYTES`` is written down in blocks of about that size, by a hash of item
+    and text. Each is searched for in a pass of its own, which writes down what is found so far; the driver
+    and the executors then drop the block, so they hold one at a time, and the folder of the pass before goes.
     """
+    spark = documents.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    items = items.filter("text IS NOT NULL")
+    items = items.filter("text IS NOT NULL").distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BENCHMARK_BLOCK_BYTES))
     # The columns kept are packed under one name, so that no given name clashes with those added here.
@@ -179,9 +184,22 @@ def find_benchmark(documents: DataFrame, benchmark: DataFrame, columns: list[str
         F.expr("CAST(array() AS array<struct<start:int,end:int>>)").alias("_spans"),
         F.expr("CAST(array() AS array<string>)").alias("_items"),
     )
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        found = _search_block(found, [(row["item"], row["text"]) for row in part])
+    if blocks == 1:
+        found = _search_block(found, spark.sparkContext.broadcast([tuple(row) for row in items.collect()]))
+    else:
+        path, written = scratch_path(spark, "benchmark"), None
+        numbered = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int"))
+        numbered.repartition("block").write.partitionBy("block").parquet(path)
+        numbered = spark.read.schema(numbered.schema).parquet(path)
+        for block in range(blocks):
+            part = numbered.filter(F.col("block") == block).select("item", "text").collect()
+            shared = spark.sparkContext.broadcast([tuple(row) for row in part])
+            before, written = written, scratch_path(spark, "found")
+            found = stage(_search_block(found, shared), "found", written)
+            shared.destroy()
+            if before:
+                remove(spark, before)
+        remove(spark, path)
     return found.select(*[F.col(f"_row.`{name}`") for name in columns], F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items"))
 
 

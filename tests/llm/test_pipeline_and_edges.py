@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aerolag.llm import oracles, pii, queries, stages
+from aerolag.llm import decontamination, oracles, pii, queries, stages
 from aerolag.llm.caps import near_duplicate_vectors
 from aerolag.llm.decontamination import contamination
 from aerolag.llm.html import extract, main_texts
@@ -117,6 +117,26 @@ def test_benchmark_items_without_an_id(spark, tmp_path):
     assert sorted(r.doc_id for r in kept.collect()) == [4, 6]
 
 
+def test_benchmark_of_many_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    items = [(i if i % 5 else None, prose(15)) for i in range(40)]
+    rows = [(i, f"{prose(20)} {items[i % 40][1]} {prose(5)} {items[i * 7 % 40][1]}") for i in range(60)] + [(60, None), (61, prose(50))]
+    docs, benchmark = documents(spark, rows), spark.createDataFrame(items * 2, "item_id long, text string")
+    whole = contamination(docs, benchmark)
+    monkeypatch.setattr(decontamination, "BENCHMARK_BLOCK_BYTES", 300)
+    passes = []
+    search = decontamination._search_block
+    monkeypatch.setattr(decontamination, "_search_block", lambda *given: passes.append(given[1]) or search(*given))
+    parts = contamination(docs, benchmark)
+    assert len(passes) > 5
+    # No block is left in the plan, on the driver or in a broadcast.
+    assert "MapInArrow" not in parts._jdf.queryExecution().toString()
+    assert all(shared._jbroadcast is None or not shared._jbroadcast.isValid() for shared in passes)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect()))
+    assert whole.filter("n_items > 1").count() > 10
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">menu</a></li></ul></nav><div class="cookie-notice">We use cookies</div><div class="ad">Buy</div>
 <article><h1>Head &amp; more</h1><p>First   <b>bold</b>
