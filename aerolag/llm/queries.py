@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerolag.llm.caps import near_duplicate_vectors
 from aerolag.llm.decontamination import contamination
+from aerolag.llm.fingerprints import document_fingerprints
 from aerolag.llm.html import main_texts
 from aerolag.llm.jaccard import near_duplicates
 from aerolag.llm.language import identify_documents
@@ -64,6 +65,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_embeddings": op1_embeddings,
@@ -76,4 +81,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_warc": op9_warc,
         "op10_html": op10_html,
+        "op13_fingerprints": op13_fingerprints,
     }

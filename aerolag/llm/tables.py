@@ -9,10 +9,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from aerolag.storage import stage
+
 SLICE_ROWS = 256
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -49,6 +51,22 @@ def small_side(stored: DataFrame, *texts: str) -> DataFrame:
     return F.broadcast(stored) if total <= BROADCAST_BYTES else stored
 
 
+def ranked(rows: DataFrame, *order: Column) -> DataFrame:
+    """The rows with their place (``position``, from 0) in ``order``, which should leave no ties.
+
+    Tasks sort ranges of the order and write a file each; a row's place is the number of rows in earlier
+    files plus its own in the file. Only one count a task is summed up in one place.
+    """
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    written = stage(dealt.withColumn("_part", F.spark_partition_id()), "ranked")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = written.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = written.select("*", F.col("_metadata.row_index").alias("_row"))
+    placed = placed.join(small_side(stage(before, "ranked-parts")), "_part")
+    return placed.withColumn("position", F.col("_before") + F.col("_row")).drop("_part", "_before", "_row")
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of at most ``rows``, so that few texts are Python objects at a time."""
     for batch in batches:
