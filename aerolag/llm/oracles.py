@@ -62,6 +62,85 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+OP11_RANKING = rf"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS row, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+d AS (SELECT row, doc_id, CAST(len(w) AS BIGINT) AS n FROM w WHERE len(w) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM d),
+p AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM w) GROUP BY 1, 2),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+q AS (SELECT DISTINCT item_id, text, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+x AS (SELECT q.item_id, q.text, p.row, CAST(sum(
+        CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) AS BIGINT) AS score
+      FROM q JOIN f USING (term) JOIN p USING (term) JOIN d USING (row), s GROUP BY 1, 2, 3),
+r AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id, x.text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM x JOIN d USING (row) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+_ENCODED = ", ".join(
+    f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR) END"
+    for name in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+
+#: crc32 of the decimal doc_id, bit by bit.
+_CRC_OF_ID = """xor(list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT) for _ in range(8)]),
+        lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+OP12_MANIFEST = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, source, sha256(concat({_ENCODED.format(text="text")})) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC_OF_ID} % 2 = 0
+         THEN sha256(concat({_ENCODED.format(text="replace(text, chr(10), '')")})) END AS tampered FROM documents),
+r AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS size,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM l),
+g(tree, level, place, size, digest) AS (
+  SELECT tree, 0, place, size, leaf FROM r
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM g
+  WHERE size > 1 GROUP BY tree, level, place // 3, size),
+t(level, place, size, digest) AS (
+  SELECT 0, tree, (SELECT max(tree) + 1 FROM r), digest FROM g WHERE size = 1
+  UNION ALL
+  SELECT level + 1, place // 3, (size + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)) FROM t
+  WHERE size > 1 GROUP BY level, place // 3, size),
+walk(tree, place, level, pos) AS (
+  SELECT tree, place, 0, place FROM r
+  UNION ALL
+  SELECT w.tree, w.place, w.level + 1, w.pos // 3 FROM walk w WHERE w.level < 40),
+steps AS (
+  SELECT w.tree, w.place, w.level AS step, coalesce(string_agg(g.digest, '' ORDER BY g.place) FILTER (g.place < w.pos), '') AS before,
+    coalesce(string_agg(g.digest, '' ORDER BY g.place) FILTER (g.place > w.pos), '') AS after
+  FROM walk w JOIN g ON g.tree = w.tree AND g.level = w.level AND g.place // 3 = w.pos // 3 WHERE g.size > 1 GROUP BY 1, 2, 3),
+top_walk(tree, level, pos) AS (
+  SELECT DISTINCT tree, 0, tree FROM r
+  UNION ALL
+  SELECT w.tree, w.level + 1, w.pos // 3 FROM top_walk w WHERE w.level < 40),
+top_steps AS (
+  SELECT w.tree, w.level + 100 AS step, coalesce(string_agg(t.digest, '' ORDER BY t.place) FILTER (t.place < w.pos), '') AS before,
+    coalesce(string_agg(t.digest, '' ORDER BY t.place) FILTER (t.place > w.pos), '') AS after
+  FROM top_walk w JOIN t ON t.level = w.level AND t.place // 3 = w.pos // 3 WHERE t.size > 1 GROUP BY 1, 2),
+paths AS (
+  SELECT tree, place, step, before, after FROM steps
+  UNION ALL SELECT r.tree, r.place, step, before, after FROM r JOIN top_steps USING (tree)),
+p AS (
+  SELECT tree, place, list({{'a': before, 'b': after}} ORDER BY step) AS path, string_agg(before || after, '' ORDER BY step) AS siblings
+  FROM paths GROUP BY 1, 2),
+f(tree, place, step, digest) AS (
+  SELECT tree, place, 0, coalesce(tampered, leaf) FROM r
+  UNION ALL
+  SELECT f.tree, f.place, f.step + 1, sha256(p.path[f.step + 1].a || f.digest || p.path[f.step + 1].b)
+  FROM f JOIN p ON p.tree = f.tree AND p.place = f.place WHERE f.step < len(p.path)),
+fold AS (SELECT tree, place, arg_max(digest, step) AS folded FROM f GROUP BY 1, 2),
+top AS (SELECT digest AS root FROM t WHERE size = 1)
+SELECT r.doc_id, r.leaf, s.digest AS subroot, top.root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+  fold.folded AS folded_root, fold.folded = top.root AS verified
+FROM r JOIN (SELECT tree, digest FROM g WHERE size = 1) s USING (tree) JOIN fold USING (tree, place)
+LEFT JOIN p USING (tree, place), top
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -69,4 +148,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_jaccard": OP2_JACCARD,
         "op3_decontamination": OP3_DECONTAMINATION,
         "op9_warc": OP9_WARC,
+        "op11_ranking": OP11_RANKING,
+        "op12_manifest": OP12_MANIFEST,
     }

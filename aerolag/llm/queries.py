@@ -13,8 +13,10 @@ from aerolag.llm.fingerprints import document_fingerprints
 from aerolag.llm.html import main_texts
 from aerolag.llm.jaccard import near_duplicates
 from aerolag.llm.language import identify_documents
+from aerolag.llm.manifest import document_manifest
 from aerolag.llm.packing import pack_documents
 from aerolag.llm.pii import personal_data
+from aerolag.llm.ranking import ranked_search
 from aerolag.llm.repeats import remove_repeats
 from aerolag.llm.tables import table
 from aerolag.llm.token_files import token_file_round_trip
@@ -65,6 +67,14 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(table(spark, sf_dir, "documents"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -81,5 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": op8_language,
         "op9_warc": op9_warc,
         "op10_html": op10_html,
+        "op11_ranking": op11_ranking,
+        "op12_manifest": op12_manifest,
         "op13_fingerprints": op13_fingerprints,
     }

@@ -39,12 +39,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_side(stored: DataFrame, *texts: str) -> DataFrame:
+def small_side(stored: DataFrame, *texts: str, row_bytes: int = 64) -> DataFrame:
     """A stored table for a join: marked for broadcast if it is below ``BROADCAST_BYTES``, else as it is.
 
-    The size counts 64 bytes a row and the bytes of the columns ``texts``.
+    The size counts ``row_bytes`` a row and the bytes of the columns ``texts``.
     """
-    size = F.lit(64)
+    size = F.lit(row_bytes)
     for name in texts:
         size = size + F.octet_length(name)
     total = stored.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
