@@ -110,9 +110,9 @@ def test_bounds_hold_and_spare_visits():
     known = dict(items.vocabulary)
     strata = []
     for number in range(200):
-        docs = [(number * 9 + i, Counter(rng.choice(words) for _ in range(5 + number))) for i in range(9)]
+        docs = [(number * 9 + i, Counter(rng.choice(words) for _ in range(12))) for i in range(9)]
         docs = [(i, Counter({t: f for t, f in c.items() if t in known})) for i, c in docs]
-        strata.append(stratum(docs, known, 10 + 3 * number))
+        strata.append(stratum(docs, known, 10 + 9 * number))
     weights = np.array([rng.randrange(100, 9000) for _ in known], np.int64)
     search = Search(items, weights)
     every = [[] for _ in range(8)]
