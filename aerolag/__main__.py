@@ -39,7 +39,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--rounds", type=int, default=ROUNDS)
     top.add_argument("--max-generations", type=int)
     top.add_argument("--parallel-fits", type=int, default=PARALLEL_FITS)
-    top.add_argument("--training-partitions", type=int, help="partitions to train on (default: those of the scan)")
+    top.add_argument("--training-partitions", type=int, help="buckets to train on (default: by the number of rows)")
     top.add_argument("--staging-path", help="keep the staged features here (jobs type and all)")
     return top
 

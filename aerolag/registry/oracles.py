@@ -198,8 +198,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "multilabel_report": _features(REPORT),
         "delay_minutes_predict": _features(
-            f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay, 1 AS prediction_is_finite"
-            f" FROM features WHERE {_complete(S.MINUTES_COLUMNS)} AND {IS_TEST}"
+            f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay, 1 AS prediction_is_finite,"
+            f" CAST(0 AS DOUBLE) AS off_the_walk, CAST(100 AS BIGINT) AS trees FROM features WHERE {_complete(S.MINUTES_COLUMNS)} AND {IS_TEST}"
         ),
         "delay_minutes_eval": _features(
             f", rows_used AS (SELECT CAST(depdelay AS DOUBLE) + arrdelay AS y, {IS_TEST} AS is_test FROM features"
@@ -213,7 +213,8 @@ def oracle_sql() -> dict[str, str]:
             f" 1 AS is_sum_of_parts FROM features WHERE {_complete(S.MINUTES_COLUMNS)} AND {IS_TEST}"
         ),
         "delay_type_predict": _features(
-            f"SELECT flight_key, {_listed(S.LABELS)}, 1 AS predictions_are_flags FROM features"
+            f"SELECT flight_key, {_listed(S.LABELS)}, 1 AS predictions_are_flags,"
+            " CAST(0 AS DOUBLE) AS off_the_walk, CAST(700 AS BIGINT) AS trees FROM features"
             f" WHERE {_complete(S.TYPE_COLUMNS)} AND {IS_TEST}"
         ),
         "delay_type_eval": _features(

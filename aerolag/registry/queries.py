@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 from aerolag import schema as S
 from aerolag.models.assembly import VECTOR, assemble
 from aerolag.models.minutes import Generation, fit_minutes, load_minutes, save_minutes, score_minutes
-from aerolag.models.types import fit_types, load_types, predicted, save_types, score_types
+from aerolag.models.types import (
+    fit_types,
+    load_types,
+    predicted,
+    save_types,
+    score_margins,
+    score_types,
+    stored_classifiers,
+)
+from aerolag.models.walk import node_table, walk
 from aerolag.operators.encoding import frequency_encode, row_count, value_counts
 from aerolag.operators.metrics import label_counts as count_labels
 from aerolag.operators.metrics import multilabel_report as report_labels
@@ -175,9 +184,13 @@ def multilabel_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(report_labels(ruled, S.LABELS, names))
 
 
+def _model_key(spark: SparkSession, sf_dir: str, kind: str) -> tuple[str, str, str]:
+    return (spark.sparkContext.applicationId, sf_dir, kind)
+
+
 def _stored_model(spark: SparkSession, sf_dir: str, kind: str, train: Callable[[str], object]) -> str:
     """Folder of a model trained with full rounds; the queries of one session share it."""
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    key = _model_key(spark, sf_dir, kind)
     if key not in _stored:
         path = scratch_path(spark, f"{kind}-model")
         train(path)
@@ -190,16 +203,25 @@ def _minutes_model(spark: SparkSession, sf_dir: str, train: DataFrame) -> list[G
     return load_minutes(spark, path)
 
 
-def delay_minutes_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The test rows with their predictions."""
-    train, test = hash_split(_minutes_rows(spark, sf_dir))
-    return score_minutes(_minutes_model(spark, sf_dir, train), test)
+def _off_by(one: Column, other: Column) -> Column:
+    """The difference of two scores, to nine digits."""
+    return F.round(F.abs(one - other), 9)
 
 
 def delay_minutes_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of the test rows, held against a walk through the stored trees."""
+    train, test = hash_split(_minutes_rows(spark, sf_dir))
+    generations = _minutes_model(spark, sf_dir, train)
+    folder = f"{_stored[_model_key(spark, sf_dir, 'minutes')]}/{generations[0].folder}"
+    walked = walk(test, node_table(spark, {"minutes": folder}))
+    scored = score_minutes(generations, test).join(walked, S.KEY)
     finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
-    return delay_minutes_scored(spark, sf_dir).select(
-        S.KEY, "total_delay", finite.cast("int").alias("prediction_is_finite")
+    return scored.select(
+        S.KEY,
+        "total_delay",
+        finite.cast("int").alias("prediction_is_finite"),
+        _off_by(F.col("prediction"), F.col("score")).alias("off_the_walk"),
+        "trees",
     )
 
 
@@ -238,15 +260,29 @@ def warm_start_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _types_model(spark: SparkSession, sf_dir: str, train: DataFrame) -> str:
+    return _stored_model(spark, sf_dir, "types", lambda path: save_types(spark, fit_types(train), path))
+
+
 def _types_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = hash_split(dropna_type(spark, sf_dir))
-    path = _stored_model(spark, sf_dir, "types", lambda path: save_types(spark, fit_types(train), path))
-    return score_types(load_types(spark, path), test)
+    return score_types(load_types(spark, _types_model(spark, sf_dir, train)), test)
 
 
 def delay_type_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = reduce(and_, [F.col(predicted(label)).isin(0, 1) for label in S.LABELS])
-    return _types_scored(spark, sf_dir).select(S.KEY, *S.LABELS, valid.cast("int").alias("predictions_are_flags"))
+    """Predictions of the test rows for all labels, held against a walk through the stored trees."""
+    train, test = hash_split(dropna_type(spark, sf_dir))
+    path = _types_model(spark, sf_dir, train)
+    model = load_types(spark, path)
+    margins = score_margins(model, test)
+    walked = walk(test, node_table(spark, stored_classifiers(spark, path))).withColumnRenamed("model", "label")
+    off = margins.join(walked, [S.KEY, "label"]).groupBy(S.KEY).agg(
+        F.max(_off_by(F.col("margin"), F.col("score"))).alias("off_the_walk"), F.sum("trees").alias("trees")
+    )
+    flags = [F.col(predicted(label)).isin(0, 1) for label in S.LABELS]
+    return score_types(model, test).join(off, S.KEY).select(
+        S.KEY, *S.LABELS, reduce(and_, flags).cast("int").alias("predictions_are_flags"), "off_the_walk", "trees"
+    )
 
 
 def delay_type_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
