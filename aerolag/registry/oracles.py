@@ -170,6 +170,7 @@ def oracle_sql() -> dict[str, str]:
             " FROM flights QUALIFY uniquecarrier IS NOT NULL"
         ),
         "table_refresh": types,
+        "refresh_after_failure": types,
         "unload_roundtrip": minutes,
         "dropna_minutes": _features(f"SELECT {MINUTES} FROM features WHERE {_complete(S.MINUTES_COLUMNS)}"),
         "dropna_type": _features(f"SELECT {TYPES} FROM features WHERE {_complete(S.TYPE_COLUMNS)}"),

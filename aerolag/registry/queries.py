@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -105,6 +106,23 @@ def table_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def refresh_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delay-type table after a rebuild that died midway: the rows from before, through the catalog."""
+    path = scratch_path(spark, "delay-type")
+    table = f"aerolag_{uuid.uuid4().hex}"
+    rows = stage(features_type(spark, sf_dir), "type-rows")
+    replace_table(rows, table, path)
+    dies = F.when(F.crc32(F.col(S.KEY).cast("binary")) % 4 == 1, F.raise_error(F.lit("died midway")))
+    try:
+        replace_table(rows.withColumn(S.KEY, F.coalesce(dies.cast("string"), S.KEY)), table, path)
+    except PySparkException:
+        found = stage(spark.read.table(table), "refreshed")
+    else:
+        raise RuntimeError("the rebuild did not die")
+    drop_table(spark, table)
+    return found
+
+
 def unload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delay-minutes table exported and read back."""
     frame = features_minutes(spark, sf_dir)
@@ -311,6 +329,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "features_type": features_type,
         "feature_sql_text": feature_sql_text,
         "table_refresh": table_refresh,
+        "refresh_after_failure": refresh_after_failure,
         "unload_roundtrip": unload_roundtrip,
         "dropna_minutes": dropna_minutes,
         "dropna_type": dropna_type,
