@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from aerolag.models.assembly import ROUNDS
-from aerolag.models.minutes import Generation, fit_minutes, load_minutes, save_minutes, score_minutes
+from aerolag.models.minutes import MinutesModel, fit_minutes, load_minutes, save_minutes, score_minutes
 from aerolag.operators.metrics import regression_metrics
 from aerolag.operators.rows import drop_incomplete
 from aerolag.operators.split import hash_split
@@ -18,7 +18,7 @@ from aerolag.storage import held, job_folder
 
 @dataclass(frozen=True)
 class MinutesResult:
-    generations: list[Generation]
+    model: MinutesModel
     metrics: DataFrame
 
 
@@ -50,8 +50,8 @@ def minutes_from_frame(
     """The job from a feature frame on.
 
     The table's files are the export, and training reads them back. The model is stored
-    only after the evaluation has run. With ``max_generations`` stored already, training
-    starts anew.
+    only after the evaluation has run. A model of ``max_generations`` runs already is not
+    continued; training starts anew.
     """
     spark = frame.sparkSession
     columns = minutes_table(frame)
@@ -60,9 +60,9 @@ def minutes_from_frame(
     train, test = hash_split(minutes_target(drop_incomplete(exported)))
 
     prior = load_minutes(spark, model_path)
-    if max_generations is not None and len(prior) >= max_generations:
-        prior = []
-    generations = fit_minutes(train, prior, rounds=rounds, partitions=partitions)
-    scored = score_minutes(generations, test)
+    if prior is not None and max_generations is not None and prior.runs >= max_generations:
+        prior = None
+    model = fit_minutes(train, prior, rounds=rounds, partitions=partitions)
+    scored = score_minutes(model, test)
     metrics = held(regression_metrics(scored, "total_delay", "prediction"))
-    return MinutesResult(save_minutes(spark, generations, model_path), metrics)
+    return MinutesResult(save_minutes(spark, model, model_path), metrics)

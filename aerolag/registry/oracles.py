@@ -211,6 +211,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "warm_start_predict": _features(
             f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay, 2 AS generations,"
+            " CAST(200 AS BIGINT) AS trees, CAST(1 AS BIGINT) AS start_values, CAST(0 AS DOUBLE) AS off_the_walk,"
             f" 1 AS is_sum_of_parts FROM features WHERE {_complete(S.MINUTES_COLUMNS)} AND {IS_TEST}"
         ),
         "delay_type_predict": _features(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from aerolag import schema as S
 from aerolag.models.assembly import VECTOR, assemble
-from aerolag.models.minutes import Generation, fit_minutes, load_minutes, save_minutes, score_minutes
+from aerolag.models.minutes import MinutesModel, fit_minutes, load_minutes, save_minutes, score_minutes
 from aerolag.models.types import (
     fit_types,
     load_types,
@@ -24,7 +25,7 @@ from aerolag.models.types import (
     score_types,
     stored_classifiers,
 )
-from aerolag.models.walk import node_table, walk
+from aerolag.models.walk import TREES, node_table, walk
 from aerolag.operators.encoding import frequency_encode, row_count, value_counts
 from aerolag.operators.metrics import label_counts as count_labels
 from aerolag.operators.metrics import multilabel_report as report_labels
@@ -216,9 +217,11 @@ def _stored_model(spark: SparkSession, sf_dir: str, kind: str, train: Callable[[
     return _stored[key]
 
 
-def _minutes_model(spark: SparkSession, sf_dir: str, train: DataFrame) -> list[Generation]:
+def _minutes_model(spark: SparkSession, sf_dir: str, train: DataFrame) -> tuple[MinutesModel, str]:
+    """The stored model of the training rows, and its folder."""
     path = _stored_model(spark, sf_dir, "minutes", lambda path: save_minutes(spark, fit_minutes(train), path))
-    return load_minutes(spark, path)
+    model = load_minutes(spark, path)
+    return model, f"{path}/{model.folder}"
 
 
 def _off_by(one: Column, other: Column) -> Column:
@@ -229,10 +232,9 @@ def _off_by(one: Column, other: Column) -> Column:
 def delay_minutes_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the test rows, held against a walk through the stored trees."""
     train, test = hash_split(_minutes_rows(spark, sf_dir))
-    generations = _minutes_model(spark, sf_dir, train)
-    folder = f"{_stored[_model_key(spark, sf_dir, 'minutes')]}/{generations[0].folder}"
+    model, folder = _minutes_model(spark, sf_dir, train)
     walked = walk(test, node_table(spark, {"minutes": folder}))
-    scored = score_minutes(generations, test).join(walked, S.KEY)
+    scored = score_minutes(model, test).join(walked, S.KEY)
     finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
     return scored.select(
         S.KEY,
@@ -247,7 +249,7 @@ def delay_minutes_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The model's error on the test rows against that of the training rows' mean."""
     train, test = hash_split(_minutes_rows(spark, sf_dir))
     mean = train.agg(F.avg("total_delay")).first()[0]
-    scored = score_minutes(_minutes_model(spark, sf_dir, train), test)
+    scored = score_minutes(_minutes_model(spark, sf_dir, train)[0], test)
 
     def rmse(value: Column) -> Column:
         return F.sqrt(F.avg((F.col("total_delay") - value) * (F.col("total_delay") - value)))
@@ -260,21 +262,34 @@ def delay_minutes_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warm_start_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two generations: load the stored one, go on, store, load, score."""
+    """The stored model loaded, continued, stored, loaded and scored: one model of all trees, with one start value.
+
+    The continued model is held against a walk through its stored trees, and against the first model's prediction
+    plus the shrunken trees that were added.
+    """
     train, test = hash_split(_minutes_rows(spark, sf_dir))
-    first = [Generation(generation.model) for generation in _minutes_model(spark, sf_dir, train)]
+    first, _ = _minutes_model(spark, sf_dir, train)
     path = scratch_path(spark, "warm-model")
-    save_minutes(spark, fit_minutes(train, first), path)
+    save_minutes(spark, fit_minutes(train, replace(first, version=None)), path)
     both = load_minutes(spark, path)
-    scored = score_minutes(both, test)
-    for number, generation in enumerate(both):
-        scored = score_minutes([generation], scored, f"part_{number}")
-    parts = sum(F.col(f"part_{number}") for number in range(len(both)))
+    nodes = stage(node_table(spark, {"both": f"{path}/{both.folder}"}), "nodes")
+    starts = nodes.filter("node = 0 AND weight = 1").count()
+    added = nodes.filter(F.col("tree") >= len(first.model.trees)).withColumn("model", F.lit("added"))
+    walked = walk(test, nodes.unionByName(added.withColumn("tree", F.col("tree") + TREES)))
+    walked = walked.groupBy(S.KEY).agg(
+        F.max(F.when(F.col("model") == "both", F.col("score"))).alias("whole"),
+        F.max(F.when(F.col("model") == "added", F.col("score"))).alias("more"),
+        F.max("trees").alias("trees"),
+    )
+    scored = score_minutes(first, score_minutes(both, test), "before").join(walked, S.KEY)
     return scored.select(
         S.KEY,
         "total_delay",
-        F.lit(len(both)).alias("generations"),
-        (F.abs(F.col("prediction") - parts) < 1e-9).cast("int").alias("is_sum_of_parts"),
+        F.lit(both.runs).alias("generations"),
+        "trees",
+        F.lit(starts).cast("long").alias("start_values"),
+        _off_by(F.col("prediction"), F.col("whole")).alias("off_the_walk"),
+        (F.abs(F.col("prediction") - F.col("before") - F.col("more")) < 1e-9).cast("int").alias("is_sum_of_parts"),
     )
 
 

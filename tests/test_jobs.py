@@ -37,7 +37,7 @@ def test_run_all_twice(spark, flights):
     source = spark.read.parquet(flights)
     for run in (1, 2):
         first, second = run_all(source, minutes, types, rounds=1, staging_path=staging)
-        assert len(first.generations) == run
+        assert first.model.runs == run
         assert first.metrics.first()["n"] > 0
         assert second.report.count() == 11
     kept = source.filter("uniquecarrier IS NOT NULL").count()
@@ -49,7 +49,7 @@ def test_run_all_twice(spark, flights):
     table = spark.read.table(types.table)
     assert table.columns == ["id", S.KEY, *S.TYPE_COLUMNS]
     assert sorted(row["id"] for row in table.select("id").collect()) == list(range(1, kept + 1))
-    assert len(load_minutes(spark, minutes.model_path)) == 2
+    assert load_minutes(spark, minutes.model_path).runs == 2
     assert len(load_types(spark, types.model_path).stages) == 7
 
 
@@ -61,7 +61,7 @@ def test_single_jobs_and_max_generations(spark, flights):
         result = run_minutes(
             source, minutes.table, minutes.export_path, minutes.model_path, rounds=1, max_generations=2
         )
-        sizes.append(len(result.generations))
+        sizes.append(result.model.runs)
     assert sizes == [1, 2, 1]
     result = run_type(source, types.table, types.export_path, types.model_path, rounds=1)
     assert [row["label"] for row in result.report.orderBy("position").collect()][:7] == S.LABELS
@@ -77,7 +77,7 @@ def test_a_failed_evaluation_stores_nothing(spark, flights, monkeypatch):
     minutes = job_paths(spark, "failing")
     with pytest.raises(RuntimeError):
         run_minutes(spark.read.parquet(flights), minutes.table, minutes.export_path, minutes.model_path, rounds=1)
-    assert load_minutes(spark, minutes.model_path) == []
+    assert load_minutes(spark, minutes.model_path) is None
 
 
 def test_command_line(spark, flights, capsys):
@@ -85,7 +85,7 @@ def test_command_line(spark, flights, capsys):
     main(["minutes", "--flights-parquet", flights, "--minutes-table", "cli_minutes",
           "--minutes-export", export, "--minutes-model", model, "--rounds", "1"])
     assert "rmse" in capsys.readouterr().out
-    assert len(load_minutes(spark, model)) == 1
+    assert load_minutes(spark, model).runs == 1
     with pytest.raises(SystemExit):
         main(["type", "--flights-parquet", flights])
     with pytest.raises(SystemExit, match="jdbc"):
