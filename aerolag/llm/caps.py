@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerolag.llm import caches
 from aerolag.llm.components import connected_components
 from aerolag.llm.tables import map_arrow, slices, small_side, sorted_groups
 from aerolag.storage import stage
@@ -111,6 +112,9 @@ def _decoder(dimensions: int, filters: Filters) -> Decoder:
     return Decoder(dimensions, filters)
 
 
+caches.drops(_decoder.cache_clear)
+
+
 def _units(vectors: list[bytes]) -> np.ndarray:
     matrix = np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
     matrix = matrix / np.abs(matrix).max(axis=1)[:, None]

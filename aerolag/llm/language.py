@@ -23,6 +23,10 @@ SEED = 8
 SYMBOLS = 128
 UNDETERMINED = "und"
 MAX_LANGUAGES = 4096
+#: N-grams whose vectors a task stores, at 4 KB each, and those it binds at a time.
+GRAMS_KEPT, BLOCK_GRAMS = 16_384, 4096
+#: N-gram shares of texts that a task adds up before it bundles them, at 16 bytes each.
+SHARES_HELD = 2_000_000
 
 _GRAMS = SYMBOLS**3
 
@@ -52,46 +56,68 @@ def grams(text: str | None) -> np.ndarray:
 
 
 class Letters:
-    """Vectors of n-grams, made when they are first seen."""
+    """Vectors of n-grams. The first ``kept`` ones seen are stored; the others are bound anew, in blocks."""
 
-    def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED):
+    def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED, kept: int = GRAMS_KEPT):
         signs = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dimensions)) * 2 - 1
         self.by_place = [np.roll(signs, place, axis=1).astype(np.int8) for place in range(3)]
         self.slot = np.full(_GRAMS, -1, dtype=np.int32)
-        self.vectors = np.empty((1024, dimensions), dtype=np.float32)
-        self.known = 0
+        self.vectors = np.empty((min(1024, kept), dimensions), dtype=np.float32)
+        self.known, self.kept = 0, kept
+
+    def _bound(self, codes: np.ndarray) -> np.ndarray:
+        first, second, third = (codes // SYMBOLS**2, codes // SYMBOLS % SYMBOLS, codes % SYMBOLS)
+        return self.by_place[2][first] * self.by_place[1][second] * self.by_place[0][third]
 
     def bundle(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The weighted sum of the vectors of distinct n-grams."""
-        new = codes[self.slot[codes] < 0]
+        new = codes[self.slot[codes] < 0][: self.kept - self.known]
         if len(new):
             while self.known + len(new) > len(self.vectors):
-                self.vectors = np.concatenate([self.vectors, np.empty_like(self.vectors)])
-            first, second, third = (new // SYMBOLS**2, new // SYMBOLS % SYMBOLS, new % SYMBOLS)
-            bound = self.by_place[2][first] * self.by_place[1][second] * self.by_place[0][third]
-            self.vectors[self.known : self.known + len(new)] = bound
+                more = min(len(self.vectors), self.kept - len(self.vectors))
+                self.vectors = np.concatenate([self.vectors, np.empty((more, self.vectors.shape[1]), np.float32)])
+            self.vectors[self.known : self.known + len(new)] = self._bound(new)
             self.slot[new] = np.arange(self.known, self.known + len(new))
             self.known += len(new)
-        return weights.astype(np.float32) @ self.vectors[self.slot[codes]]
+        slots = self.slot[codes]
+        weights = weights.astype(np.float32)
+        if len(codes) <= BLOCK_GRAMS and slots.min(initial=0) >= 0:
+            return weights @ self.vectors[slots]
+        total = np.zeros(self.vectors.shape[1])
+        for stored in (True, False):
+            places = np.flatnonzero((slots >= 0) == stored)
+            for start in range(0, len(places), BLOCK_GRAMS):
+                some = places[start : start + BLOCK_GRAMS]
+                vectors = self.vectors[slots[some]] if stored else self._bound(codes[some]).astype(np.float32)
+                total += weights[some] @ vectors
+        return total
 
 
 def _bundles_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per language the sum over its texts of their n-gram shares, bundled."""
-    weights: dict[str, np.ndarray] = {}
+    letters, held, size = Letters(), {}, 0
+    totals: dict[str, np.ndarray] = {}
+
+    def bundle_held() -> None:
+        for lang, parts in held.items():
+            codes, places = np.unique(np.concatenate([codes for codes, _ in parts]), return_inverse=True)
+            shares = np.bincount(places, np.concatenate([shares for _, shares in parts]))
+            total = totals.setdefault(lang, np.zeros(DIMENSIONS))
+            for start in range(0, len(codes), BLOCK_GRAMS):
+                total += letters.bundle(codes[start : start + BLOCK_GRAMS], shares[start : start + BLOCK_GRAMS])
+        held.clear()
+
     for batch in slices(batches):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
             codes, counts = np.unique(grams(text), return_counts=True)
             if len(codes):
-                if lang not in weights:
-                    weights[lang] = np.zeros(_GRAMS)
-                weights[lang][codes] += counts / counts.sum()
-    letters = Letters()
-    for lang, weight in weights.items():
-        total = np.zeros(DIMENSIONS)
-        codes = np.flatnonzero(weight)
-        for start in range(0, len(codes), 4096):
-            part = codes[start : start + 4096]
-            total += letters.bundle(part, weight[part])
+                held.setdefault(lang, []).append((codes, counts / counts.sum()))
+                size += len(codes)
+                if size >= SHARES_HELD:
+                    bundle_held()
+                    size = 0
+    bundle_held()
+    for lang, total in totals.items():
         yield pa.RecordBatch.from_pydict({"lang": [lang], "bundle": [total.tolist()]})
 
 

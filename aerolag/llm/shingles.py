@@ -8,6 +8,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from aerolag.llm import caches
+
 SHINGLE_WORDS = 5
 #: Words whose hash a worker keeps; hashing one anew is cheap.
 HASHES_KEPT = 50_000
@@ -28,6 +30,7 @@ class _Hashes(dict):
 
 
 _hashes = _Hashes()
+caches.drops(_hashes.clear)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from aerolag.llm import caches
 from aerolag.storage import stage
 
 SLICE_ROWS = 256
@@ -22,7 +23,16 @@ _shipped: set[str] = set()
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``df.mapInArrow``, with this package sent to the executors once for every application."""
+    """``df.mapInArrow``, with this package sent to the executors once for every application.
+
+    A worker that ran another operator before lets go of what it kept for that one.
+    """
+    operator = f"{function.__module__}.{function.__qualname__}"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.begin(operator)
+        return function(batches)
+
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -32,7 +42,7 @@ def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> Da
                 out.write(file, file.relative_to(package.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

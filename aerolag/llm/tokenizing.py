@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from aerolag.llm import caches
+
 #: Words kept in each of two generations; when the newer is full it becomes the older.
 WORDS_KEPT = 400_000
 END_ID = 0
@@ -159,6 +161,11 @@ def encoder(path: str, blank_joins: bool) -> Encoder:
     return Encoder(path, blank_joins)
 
 
+@caches.drops
+def _drop_encoders() -> None:
+    encoder.cache_clear()
+
+
 def crc_of_ids(ids: np.ndarray) -> int:
     """CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids.astype("<u4").tobytes())

@@ -10,19 +10,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from aerolag.llm.tables import map_arrow
-from aerolag.storage import scratch_path
+from aerolag.llm.tables import map_arrow, small_side
+from aerolag.storage import scratch_path, stage
 
 MIN_REVISIT_BYTES = 1000
-RECORDS_PER_FILE = 4000
+#: Largest payload of a class of pages, and records in a file of that class: some 64 MB of either. Pages above all
+#: classes have a file each.
+FILE_CLASSES = ((16 * 1024, 4000), (256 * 1024, 256), (4 * 1024 * 1024, 16))
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 END = b"\r\n\r\n"
@@ -203,8 +207,10 @@ def archive_rows(pages: DataFrame) -> DataFrame:
         F.col("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     ).withColumns({"bytes": F.octet_length("html").cast("long"), "digest": F.sha1(F.col("html").cast("binary"))})
     large = F.col("bytes") >= MIN_REVISIT_BYTES
-    first = plain.filter(large).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies")).filter("copies > 1")
-    rows = plain.join(first.select("digest", "original"), "digest", "left")
+    first = plain.filter(large).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies"))
+    first = stage(first.filter("copies > 1").select("digest", "original"), "copied-payloads")
+    # Broadcast where small, as measured: then no html is shuffled.
+    rows = plain.join(small_side(first, "digest"), "digest", "left")
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original")) & large
     rows = rows.withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col("original"))})
     return rows.drop("original")
@@ -240,10 +246,23 @@ def _record_text() -> Column:
     )
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write a WARC file for every so many records of ``pages`` below ``path``, on any file system Spark can write."""
-    rows = archive_rows(pages).select(_record_text().alias("value"))
-    rows.write.option("maxRecordsPerFile", records_per_file).option("lineSep", "\n").text(path)
+def write_archives(pages: DataFrame, path: str, classes: tuple[tuple[int, int], ...] = FILE_CLASSES) -> None:
+    """Write ``pages`` as WARC files below ``path``, on any file system Spark can write.
+
+    ``classes`` are (largest payload in bytes, records in a file), ascending: files are bounded in bytes, so that one
+    can be read as a whole. One pass over the pages for each class they fill.
+    """
+    rows = archive_rows(pages)
+    number = F.lit(len(classes))
+    for i, (most, _) in reversed(list(enumerate(classes))):
+        number = F.when(F.col("bytes") <= most, i).otherwise(number)
+    sizes = pages.select(F.coalesce(F.octet_length(F.col("html").cast("string")), F.lit(0)).alias("bytes"))
+    filled = sorted(row["class"] for row in sizes.select(number.alias("class")).distinct().collect())
+    for i in filled or [0]:
+        records = classes[i][1] if i < len(classes) else 1
+        chosen = rows if len(filled) <= 1 else rows.filter(number == i)
+        chosen = chosen.select(_record_text().alias("value"))
+        chosen.write.option("maxRecordsPerFile", records).option("lineSep", "\n").text(f"{path}/class-{i}")
 
 
 def read_archives(df: DataFrame) -> DataFrame:
@@ -283,18 +302,34 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     """Write ``pages`` as archives, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Size and digest of a response are those of the payload read; a revisit names its payload's. An
-    empty table gives no rows.
+    empty table gives no rows. Bytes that no good record covers are written down beside the archives (``-gaps``),
+    with a warning that names the table.
     """
-    spark = pages.sparkSession
-    path = scratch_path(spark, "warc")
+    path = scratch_path(pages.sparkSession, "warc")
     write_archives(pages, path)
-    records = read_archives(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path))
-    id_type = pages.schema["page_id"].dataType
+    return read_pages(pages.sparkSession, path, pages.schema["page_id"].dataType)
+
+
+def read_pages(spark: SparkSession, path: str, id_type: DataType) -> DataFrame:
+    """The pages of the archives that ``write_archives`` wrote below ``path``, as ``archive_round_trip`` returns them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+    records = read_archives(files.load(path))
     head, response = (lambda name: F.col("headers").getItem(name)), F.col("headers").getItem("warc-type") == "response"
-    return records.filter("gap IS NULL").select(
+    read = records.select(
+        F.col("path").alias("file"),
+        "offset",
+        "length",
+        "gap",
         head("x-page-id").cast(id_type).alias("page_id"),
         F.when(response, F.octet_length("payload")).otherwise(head("x-payload-length")).cast("long").alias("payload_bytes"),
         F.when(response, F.sha1("payload")).otherwise(F.substring(head("warc-payload-digest"), 6, 40)).alias("payload_digest"),
         head("warc-type").alias("record_type"),
         head("x-refers-to-page-id").cast(id_type).alias("refers_to"),
     )
+    found = stage(read, "warc-read")
+    gaps = found.filter("gap IS NOT NULL").select("file", "offset", "length", "gap")
+    lost = gaps.agg(F.count("*"), F.sum("length")).first()
+    if lost[0]:
+        gaps.write.mode("overwrite").parquet(f"{path}-gaps")
+        warnings.warn(f"{lost[0]} gaps of {lost[1]} bytes quarantined, listed in {path}-gaps", stacklevel=2)
+    return found.filter("gap IS NULL").drop("file", "offset", "length", "gap")
