@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import argparse
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolag.models.assembly import ROUNDS
 from aerolag.models.types import PARALLEL_FITS
+from aerolag.operators.count_state import update_counts
 from aerolag.plans.delay_minutes import run_minutes
 from aerolag.plans.delay_type import run_type
 from aerolag.plans.run_all import JobPaths, run_all
 from aerolag.sources.flights import flights_from_jdbc, flights_from_parquet, flights_from_table
+from aerolag.sources.snapshot import Snapshot, snapshot
 from aerolag.storage import job_folder
 
 PASSWORD_VARIABLE = "FLIGHTS_JDBC_PASSWORD"
@@ -24,6 +27,7 @@ def parser() -> argparse.ArgumentParser:
     source = top.add_mutually_exclusive_group(required=True)
     source.add_argument("--flights-table", help="catalog table")
     source.add_argument("--flights-parquet", help="Parquet directory")
+    top.add_argument("--counts-state", help="keep the carrier counts here; only new files are counted (Parquet source)")
     source.add_argument("--jdbc-url", help=f"warehouse; the password is read from ${PASSWORD_VARIABLE}")
     top.add_argument("--jdbc-table")
     top.add_argument("--jdbc-user")
@@ -44,22 +48,33 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def flights(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    if args.flights_table:
-        return flights_from_table(spark, args.flights_table, args.key)
+@dataclass(frozen=True)
+class Input:
+    """The flights, and for a Parquet directory the list of its files and, if they are kept, its carrier counts."""
+
+    flights: DataFrame
+    source: Snapshot | None = None
+    counts: DataFrame | None = None
+
+
+def read_input(spark: SparkSession, args: argparse.Namespace) -> Input:
     if args.flights_parquet:
-        return flights_from_parquet(spark, args.flights_parquet, args.key)
+        source, counts = snapshot(spark, args.flights_parquet), None
+        if args.counts_state:
+            kept = update_counts(spark, args.flights_parquet, "uniquecarrier", args.counts_state, "_n")
+            print(f"carrier counts: {kept.counted} files counted, {kept.dropped} let go")
+            counts = kept.counts
+        return Input(flights_from_parquet(spark, args.flights_parquet, args.key), source, counts)
+    if args.counts_state:
+        raise SystemExit("--counts-state needs --flights-parquet")
+    if args.flights_table:
+        return Input(flights_from_table(spark, args.flights_table, args.key))
     strides = (args.jdbc_partition_column, args.jdbc_lower, args.jdbc_upper, args.jdbc_partitions)
     if None in (args.jdbc_table, args.jdbc_user, *strides):
         raise SystemExit("--jdbc-url needs all other --jdbc options")
-    return flights_from_jdbc(
-        spark,
-        args.jdbc_url,
-        args.jdbc_table,
-        args.jdbc_user,
-        os.environ.get(PASSWORD_VARIABLE, ""),
-        *strides,
-        key=args.key,
+    password = os.environ.get(PASSWORD_VARIABLE, "")
+    return Input(
+        flights_from_jdbc(spark, args.jdbc_url, args.jdbc_table, args.jdbc_user, password, *strides, key=args.key)
     )
 
 
@@ -72,30 +87,35 @@ def main(arguments: list[str] | None = None) -> None:
         if args.job in (job, "all") and not (paths.export_path and paths.model_path):
             raise SystemExit(f"--{job}-export and --{job}-model are needed")
     with job_folder(spark, f"flight-delay-{args.job}"):
-        run(args, flights(spark, args), minutes, types)
+        run(args, read_input(spark, args), minutes, types)
+
 
+def show(report: DataFrame, incomplete: DataFrame) -> None:
+    report.show(truncate=False)
+    incomplete.filter("incomplete > 0").orderBy("position").show(100, truncate=False)
 
-def run(args: argparse.Namespace, source: DataFrame, minutes: JobPaths, types: JobPaths) -> None:
-    partitions = args.training_partitions
+
+def run(args: argparse.Namespace, given: Input, minutes: JobPaths, types: JobPaths) -> None:
+    partitions, about = args.training_partitions, {"source": given.source, "counts": given.counts}
     if args.job == "minutes":
         result = run_minutes(
-            source, minutes.table, minutes.export_path, minutes.model_path,
-            args.rounds, args.max_generations, partitions,
+            given.flights, minutes.table, minutes.export_path, minutes.model_path,
+            args.rounds, args.max_generations, partitions, **about,
         )
-        result.metrics.show(truncate=False)
+        show(result.metrics, result.incomplete)
     elif args.job == "type":
-        report = run_type(
-            source, types.table, types.export_path, types.model_path,
-            args.rounds, args.parallel_fits, partitions, args.staging_path,
-        ).report
-        report.orderBy("position").show(truncate=False)
+        result = run_type(
+            given.flights, types.table, types.export_path, types.model_path,
+            args.rounds, args.parallel_fits, partitions, args.staging_path, **about,
+        )
+        show(result.report.orderBy("position"), result.incomplete)
     else:
         first, second = run_all(
-            source, minutes, types,
-            args.rounds, args.max_generations, args.parallel_fits, partitions, args.staging_path,
+            given.flights, minutes, types,
+            args.rounds, args.max_generations, args.parallel_fits, partitions, args.staging_path, **about,
         )
-        first.metrics.show(truncate=False)
-        second.report.orderBy("position").show(truncate=False)
+        show(first.metrics, first.incomplete)
+        show(second.report.orderBy("position"), second.incomplete)
 
 
 if __name__ == "__main__":

@@ -24,7 +24,7 @@ def row_count(df: DataFrame, out: str) -> DataFrame:
 
 
 def frequency_encode(
-    df: DataFrame, column: str, out: str, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, column: str, out: str, broadcast_bytes: int = BROADCAST_BYTES, counts: DataFrame | None = None
 ) -> DataFrame:
     """Add the share of all rows that carry the row's value of ``column``.
 
@@ -34,9 +34,10 @@ def frequency_encode(
     A larger one splits the rows: at most ``HOT_KEYS`` values can each hold a
     ``1/HOT_KEYS`` share, so those are broadcast and their rows never move, and only
     rows of rarer values are shuffled. A value too long for that bound is shuffled too
-    and left to the skew handling of adaptive execution.
+    and left to the skew handling of adaptive execution. ``counts`` (column, ``_n``), if given, are the counts
+    of ``df``, kept from elsewhere; they spare the first pass.
     """
-    counts = stage(value_counts(df, column, "_n"), "value-counts")
+    counts = stage(value_counts(df, column, "_n") if counts is None else counts.select(column, "_n"), "value-counts")
     value_bytes = F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
     size = counts.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),

@@ -41,12 +41,13 @@ def label_columns() -> list:
     ]
 
 
-def feature_frame(flights: DataFrame) -> DataFrame:
+def feature_frame(flights: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Key, the 31 features, the two delays and the seven labels.
 
-    Narrow but for the carrier counts; both jobs project from it.
+    Narrow but for the carrier counts (uniquecarrier, _n), which are made here unless they are given; both
+    jobs project from it.
     """
-    return frequency_encode(flights, "uniquecarrier", "uniquecarrier_freq").select(
+    return frequency_encode(flights, "uniquecarrier", "uniquecarrier_freq", counts=counts).select(
         S.KEY,
         *hour_columns(),
         *calendar_columns(),

@@ -148,6 +148,22 @@ REPORT = f"""
 """
 
 
+def _incomplete(name: str) -> str:
+    return f"({name} IS NULL)" if name in INTEGERS | {S.KEY} else f"({name} IS NULL OR coalesce(isnan({name}), FALSE))"
+
+
+_ANY = " + ".join(f"CAST({_incomplete(name)} AS INT)" for name in [S.KEY, *S.MINUTES_COLUMNS])
+DROPPED = (
+    f", m AS (SELECT *, {_ANY} AS missing FROM features)"
+    ' SELECT CAST(NULL AS VARCHAR) AS "column", count(*) AS rows, count(*) FILTER (missing > 0) AS incomplete,'
+    " CAST(NULL AS BIGINT) AS alone FROM m"
+) + "".join(
+    f" UNION ALL SELECT '{name}', count(*), count(*) FILTER {_incomplete(name)},"
+    f" count(*) FILTER ({_incomplete(name)} AND missing = 1) FROM m"
+    for name in [S.KEY, *S.MINUTES_COLUMNS]
+)
+
+
 def oracle_sql() -> dict[str, str]:
     minutes = _features(f"SELECT {MINUTES} FROM features")
     types = _features(f"SELECT {TYPES} FROM features")
@@ -160,8 +176,12 @@ def oracle_sql() -> dict[str, str]:
         "carrier_counts": _flights(
             "SELECT uniquecarrier, count(*) AS carrier_count FROM flights GROUP BY uniquecarrier"
         ),
+        "carrier_counts_kept": _flights(
+            "SELECT uniquecarrier, count(*) AS carrier_count FROM flights GROUP BY uniquecarrier"
+        ),
         "total_count": _flights("SELECT count(*) AS total_count FROM flights"),
         "frequency_encode": _features("SELECT flight_key, uniquecarrier_freq FROM features"),
+        "snapshot_frequency": _features("SELECT flight_key, uniquecarrier_freq FROM features"),
         "features_minutes": minutes,
         "features_type": types,
         "feature_sql_text": _flights(
@@ -174,6 +194,7 @@ def oracle_sql() -> dict[str, str]:
         "unload_roundtrip": minutes,
         "dropna_minutes": _features(f"SELECT {MINUTES} FROM features WHERE {_complete(S.MINUTES_COLUMNS)}"),
         "dropna_type": _features(f"SELECT {TYPES} FROM features WHERE {_complete(S.TYPE_COLUMNS)}"),
+        "dropped_rows": _features(DROPPED),
         "total_delay_target": _features(
             f"SELECT flight_key, CAST(depdelay AS DOUBLE) + arrdelay AS total_delay FROM features"
             f" WHERE {_complete(S.MINUTES_COLUMNS)}"

@@ -26,15 +26,18 @@ from aerolag.models.types import (
     stored_classifiers,
 )
 from aerolag.models.walk import TREES, node_table, walk
+from aerolag.operators.count_state import update_counts
 from aerolag.operators.encoding import frequency_encode, row_count, value_counts
 from aerolag.operators.metrics import label_counts as count_labels
 from aerolag.operators.metrics import multilabel_report as report_labels
 from aerolag.operators.metrics import regression_metrics as measure
-from aerolag.operators.rows import dense_id, drop_incomplete
+from aerolag.operators.rows import dense_id, drop_incomplete, observe_incomplete
 from aerolag.operators.split import hash_split, mark_test
 from aerolag.operators.tables import drop_table, export_parquet, read_export, replace_table, run_sql
 from aerolag.plans import features as P
+from aerolag.sources.flights import flights_from_parquet
 from aerolag.sources.order_flights import order_flights
+from aerolag.sources.snapshot import snapshot
 from aerolag.storage import scratch_path, stage
 
 #: Folders of the models trained so far, by application, input and kind.
@@ -65,6 +68,27 @@ def carrier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_counts(order_flights(spark, sf_dir), "uniquecarrier", "carrier_count")
 
 
+def carrier_counts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carrier counts brought up to date three times: after some files, a replaced one, a removed and added ones."""
+    path, state = scratch_path(spark, "growing-flights"), scratch_path(spark, "counts")
+    flights = order_flights(spark, sf_dir).select(S.KEY, "uniquecarrier")
+    part = F.pmod(F.crc32(F.col(S.KEY).cast("binary")), F.lit(4))
+    rows = stage(flights.withColumn("part", part), "flights-in-parts")
+
+    def put(name: str, condition: str) -> None:
+        rows.filter(condition).drop("part").write.mode("overwrite").parquet(f"{path}/{name}")
+
+    put("a", "part = 0")
+    put("b", "part IN (1, 2, 3)")
+    update_counts(spark, path, "uniquecarrier", state, "carrier_count")
+    put("b", "part = 1")
+    put("c", "part IN (0, 2)")
+    update_counts(spark, path, "uniquecarrier", state, "carrier_count")
+    put("c", "part = 2")
+    put("d", "part = 3")
+    return update_counts(spark, path, "uniquecarrier", state, "carrier_count").counts
+
+
 def total_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(order_flights(spark, sf_dir), "total_count")
 
@@ -74,6 +98,17 @@ def carrier_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select(S.KEY, "uniquecarrier_freq")
 
 
+def snapshot_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carrier shares of a Parquet directory whose files are listed before the first pass and checked after the second."""
+    path = scratch_path(spark, "flights")
+    order_flights(spark, sf_dir).write.parquet(path)
+    source = snapshot(spark, path)
+    encoded = frequency_encode(flights_from_parquet(spark, path), "uniquecarrier", "uniquecarrier_freq")
+    found = stage(encoded.select(S.KEY, "uniquecarrier_freq"), "shares")
+    source.check()
+    return found
+
+
 def features_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.minutes_table(P.feature_frame(order_flights(spark, sf_dir)))
 
@@ -140,6 +175,13 @@ def dropna_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_incomplete(stage(features_type(spark, sf_dir), "type-rows"))
 
 
+def dropped_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each column of the delay-minutes table makes incomplete, counted while the table is exported."""
+    rows, incomplete = observe_incomplete(features_minutes(spark, sf_dir))
+    export_parquet(rows, scratch_path(spark, "observed-export"))
+    return incomplete.report(spark).drop("position")
+
+
 def _minutes_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.minutes_target(dropna_minutes(spark, sf_dir))
 
@@ -338,8 +380,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "weather_diffs": weather_diffs,
         "delay_labels": delay_labels,
         "carrier_counts": carrier_counts,
+        "carrier_counts_kept": carrier_counts_kept,
         "total_count": total_count,
         "frequency_encode": carrier_frequency,
+        "snapshot_frequency": snapshot_frequency,
         "features_minutes": features_minutes,
         "features_type": features_type,
         "feature_sql_text": feature_sql_text,
@@ -348,6 +392,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "unload_roundtrip": unload_roundtrip,
         "dropna_minutes": dropna_minutes,
         "dropna_type": dropna_type,
+        "dropped_rows": dropped_rows,
         "total_delay_target": total_delay_target,
         "dense_row_id": dense_row_id,
         "train_test_split": train_test_split,
