@@ -32,7 +32,7 @@ BLOCKS = CONTAINERS | set(
     " h4 h5 h6 header hgroup hr li menu nav ol p pre summary table tbody tfoot th thead tr ul".split()
 )
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "noframes", "xmp", "svg", "math"}
-LEFT_OUT = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "label", "head", "object", "canvas"}
+LEFT_OUT = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "head", "object", "canvas"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form"}
 NAMES = set(
@@ -41,10 +41,17 @@ NAMES = set(
     " pager header masthead footer copyright comment comments respond disqus discussion reply replies social share sharing"
     " related recommended widget newsletter subscribe subscription signup login search toolbar".split()
 )
+#: Those of them that no part of an article is called. Inside one, the other names alone leave nothing out.
+FOREIGN = NAMES - set(
+    "notice notices alert aside menu header comment discussion reply replies social share sharing related recommended"
+    " search promotion sponsor".split()
+)
 #: Those of them that readers' comments stand under.
 COMMENTS = {"comment", "comments", "respond", "disqus", "discussion", "reply", "replies"}
 #: Before a name, these say what an element around others has, not what it is.
 MODIFIERS = {"has", "have", "with", "without", "no", "not", "is", "hide", "show"}
+#: An element inside an article that is named for something else goes if so much of its text is links.
+LINKED_SHARE = 0.5
 #: Comments are left out beside an article of so many characters, or of as many as they have.
 ARTICLE_CHARS = 200
 
@@ -71,12 +78,21 @@ def _names(classes: str, id: str) -> set[str]:
     return found & NAMES
 
 
+def _foreign(classes: str, id: str) -> bool:
+    """Whether a class or the id says nothing but what no part of an article is."""
+    for token in f"{classes} {id}".lower().split():
+        parts = re.findall("[a-z]+", token)
+        if parts and (parts[0] in FOREIGN if len(parts) == 1 else NAMES.issuperset(parts)):
+            return True
+    return False
+
+
 class Page:
     """Elements of a page in order, as parallel lists, and its blocks of text with the element they stand in."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.named = [-1], [""], [""], [set()]
-        self.tagged_out = [False]
+        self.parent, self.tag, self.path, self.named, self.foreign = [-1], [""], [""], [set()], [False]
+        self.tagged_out, self.said_out = [False], [False]
         self.blocks: list[tuple[int, str, float]] = []
         self._parse(source)
         self._decide()
@@ -92,7 +108,9 @@ class Page:
         step = ".".join([tag, *classes])
         self.path.append(f"{self.path[parent]}/{step}" if tag in CONTAINERS else self.path[parent])
         self.named.append(set() if tag in ("html", "body") else _names(found.get("class", ""), found.get("id", "")))
-        self.tagged_out.append(tag in LEFT_OUT or found.get("role", "").lower() in ROLES or "hidden" in found)
+        self.foreign.append(_foreign(found.get("class", ""), found.get("id", "")))
+        self.said_out.append(found.get("role", "").lower() in ROLES or "hidden" in found)
+        self.tagged_out.append(tag in LEFT_OUT or self.said_out[-1])
         return len(self.parent) - 1
 
     def _parse(self, source: str) -> None:
@@ -160,9 +178,13 @@ class Page:
         A named element stays if the article stands in it, or most of the page's unlinked text and no
         article beside it. One named for comments is no article, and stays only where no article of
         some length is found outside it. A page that has no article and would lose all of its text
-        this way loses nothing by names.
+        this way loses nothing by names. Inside an article, or the innermost container of most of the text, a name is
+        a hint: see ``_belongs``. An article's own header stays if it has a heading.
         """
         size = len(self.tag)
+        headed = [bool(re.fullmatch("h[1-6]", tag)) for tag in self.tag]
+        for element in range(size - 1, 0, -1):
+            headed[self.parent[element]] |= headed[element]
         comment = [bool(names & COMMENTS) for names in self.named]
         article = [int(tag in ("article", "main") and not own) for tag, own in zip(self.tag, comment)]
         holds = [bool(own) or tag == "h1" for own, tag in zip(article, self.tag)]
@@ -170,6 +192,9 @@ class Page:
         around = [0] * size
         for element in range(1, size):
             above = self.parent[element]
+            own_header = self.tag[element] == "header" and headed[element] and not self.said_out[element]
+            if own_header and inside_article[above] and not inside_comment[above]:
+                tagged_out[element] = False
             tagged_out[element] |= tagged_out[above]
             inside_article[element] |= inside_article[above]
             inside_comment[element] |= inside_comment[above]
@@ -186,6 +211,7 @@ class Page:
             text[above] += text[element]
             within[above] += within[element]
             holds[above] |= holds[element]
+        belongs = self._belongs(tagged_out, inside_article, inside_comment, text, comment)
         self.out, stays = [False] * size, [False] * size
         for element in range(1, size):
             above = self.parent[element]
@@ -195,14 +221,55 @@ class Page:
                 stays[element] = stays[above] or (
                     (holds[element] or most) and not beside and outside < min(ARTICLE_CHARS, text[element])
                 )
-                named = not stays[element]
+                named = not stays[element] and not belongs[element]
             else:
                 stays[element] = stays[above]
-                named = bool(self.named[element]) and not holds[element] and not (most and not beside)
+                named = bool(self.named[element]) and not holds[element] and not (most and not beside) and not belongs[element]
             self.out[element] = self.out[above] or tagged_out[element] or named
         if not within[0] and all(self.out[element] for element, _, _ in self.blocks):
             self.out = tagged_out
 
+    def _belongs(self, tagged_out: list[bool], inside_article: list[int], inside_comment: list[bool], text: list[float], comment: list[bool]) -> list[bool]:
+        """Named elements that are part of the article they stand in, whatever their names.
+
+        That is all but those named for what no article holds, those whose text is mostly links, and readers'
+        comments: elements named so that hold another one, or a form, or stand beside one like themselves.
+        """
+        size = len(self.tag)
+        total, linked, nested, form = [0.0] * size, [0.0] * size, [0] * size, [False] * size
+        for element, block, link_share in self.blocks:
+            total[element] += len(block)
+            linked[element] += len(block) * link_share
+        for element in range(size - 1, 0, -1):
+            above = self.parent[element]
+            total[above] += total[element]
+            linked[above] += linked[element]
+            nested[above] += nested[element] + comment[element]
+            form[above] |= form[element] or self.tag[element] in ("form", "textarea")
+        # Without an article: the innermost container of most of the text that is named for nothing.
+        core = 0
+        if not any(tag in ("article", "main") for tag in self.tag):
+            for element in range(1, size):
+                plain = not self.named[element] and not tagged_out[element] and not inside_comment[element]
+                if plain and self.tag[element] in CONTAINERS and 2 * text[element] > text[0]:
+                    core = element
+        alike: dict[tuple, int] = {}
+        for element in range(1, size):
+            if comment[element] and not re.fullmatch("h[1-6]", self.tag[element]):
+                key = (self.parent[element], self.tag[element], frozenset(self.named[element]))
+                alike[key] = alike.get(key, 0) + 1
+        found, inside = [False] * size, [False] * size
+        for element in range(1, size):
+            above = self.parent[element]
+            inside[element] = inside[above] or element == core
+            if inside_comment[above] or not (inside_article[above] or inside[above]):
+                continue
+            key = (above, self.tag[element], frozenset(self.named[element]))
+            readers = comment[element] and (nested[element] or form[element] or alike.get(key, 0) > 1 or self.tag[element] == "article")
+            mostly_links = total[element] > 0 and linked[element] >= LINKED_SHARE * total[element]
+            found[element] = not (self.foreign[element] or mostly_links or readers)
+        return found
+
     def scores(self) -> dict[int, float]:
         """Score of every container with text."""
         found: dict[int, float] = {}
@@ -270,10 +337,17 @@ def votes(source: str | None) -> dict[str, float]:
 
 
 def extract(source: str | None, path: str | None) -> str:
-    """Main text of a page: the whole article around the containers on ``path``, or around its own best one."""
+    """Main text of a page: the whole article around the containers on ``path``, or around its own best one.
+
+    The path counts where one of its containers has ``VOTING_SHARE`` of the page's best score; elsewhere it names
+    a small box of this page, whatever it is on others.
+    """
     page = Page(source or "")
     scores = page.scores()
     chosen = {element for element in scores if page.path[element] == path and page.tag[element] in CONTAINERS}
+    best = max(scores.values(), default=0.0)
+    if not any(scores[element] >= VOTING_SHARE * best for element in chosen):
+        chosen = set()
     if not chosen and scores:
         chosen = {max(scores, key=lambda element: (scores[element], -element))}
     if not scores:
