@@ -243,6 +243,7 @@ def oracle_sql() -> dict[str, str]:
         "delay_type_eval": _features(
             REPORT.rsplit("SELECT CAST(position", 1)[0]
             + "SELECT label, CAST(support AS BIGINT) AS support, round(f1, 6) AS rule_f1,"
+            " 1 AS within_bounds, CASE WHEN label <> 'samples avg' THEN 1 END AS follows_from_counts,"
             " CASE WHEN label = 'micro avg' THEN 1 END AS models_beat_rules FROM report"
         ),
     }

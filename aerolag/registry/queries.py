@@ -360,15 +360,46 @@ def delay_type_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _lines_from_counts(counts: DataFrame) -> DataFrame:
+    """Precision, recall and F1 (again_*) of labels and averages but the one over rows, from tp, pred and support."""
+    kinds = {"precision": ("tp", "pred"), "recall": ("tp", "support"), "f1": ("2 * tp", "pred + support")}
+    one = {k: f"if({d} = 0, 0D, double({n}) / ({d}))" for k, (n, d) in kinds.items()}
+    whole = {k: one[k].replace("tp", "sum(tp)").replace("pred", "sum(pred)").replace("support", "sum(support)") for k in kinds}
+    lines = counts.selectExpr("label", "support", *[f"{one[k]} AS again_{k}" for k in kinds])
+    averages = [
+        counts.selectExpr("'micro avg' AS label", *[f"{whole[k]} AS again_{k}" for k in kinds]),
+        lines.selectExpr("'macro avg' AS label", *[f"avg(again_{k}) AS again_{k}" for k in kinds]),
+        lines.selectExpr(
+            "'weighted avg' AS label", *[f"sum(again_{k} * support) / sum(support) AS again_{k}" for k in kinds]
+        ),
+    ]
+    return reduce(DataFrame.unionByName, averages, lines.drop("support"))
+
+
 def delay_type_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1 of one rule per label on the test rows, and whether the models' micro average beats the rules'."""
+    """F1 of one rule per label on the test rows, and what holds of the models' report.
+
+    Whether its figures lie within 0 and 1, whether they follow from the models' counts (not for the average over
+    rows, which does not), and whether the micro average beats the rules'.
+    """
     names = [predicted(label) for label in S.LABELS]
     ruled, _ = _ruled_types(spark, sf_dir)
     rules = report_labels(ruled, S.LABELS, names).select("label", "support", F.col("f1").alias("rule_f1"))
-    models = report_labels(_types_scored(spark, sf_dir), S.LABELS, names).select("label", F.col("f1").alias("model_f1"))
-    beats = F.when(F.col("label") == "micro avg", (F.col("model_f1") > F.col("rule_f1")).cast("int"))
-    return rules.join(models, "label").select(
-        "label", "support", F.round("rule_f1", 6).alias("rule_f1"), beats.alias("models_beat_rules")
+    scored = stage(_types_scored(spark, sf_dir).select(*S.LABELS, *names), "scored-types")
+    figures = ["precision", "recall", "f1"]
+    models = report_labels(scored, S.LABELS, names).drop("position", "support")
+    again = _lines_from_counts(count_labels(scored, S.LABELS, names))
+    joined = rules.join(models, "label").join(again, "label", "left")
+    within = reduce(and_, [F.col(name).between(0, 1) for name in figures])
+    follows = reduce(and_, [F.abs(F.col(name) - F.col(f"again_{name}")) < 1e-9 for name in figures])
+    beats = F.when(F.col("label") == "micro avg", (F.col("f1") > F.col("rule_f1")).cast("int"))
+    return joined.select(
+        "label",
+        "support",
+        F.round("rule_f1", 6).alias("rule_f1"),
+        within.cast("int").alias("within_bounds"),
+        follows.cast("int").alias("follows_from_counts"),
+        beats.alias("models_beat_rules"),
     )
 
 
