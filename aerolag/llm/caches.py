@@ -10,6 +10,8 @@ import ctypes
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _drops: list[Callable[[], None]] = []
 _last: str | None = None
 
@@ -27,9 +29,14 @@ def begin(operator: str) -> None:
         for drop in _drops:
             drop()
         gc.collect()
-        try:
-            # Freed memory goes back to the machine, not only to the allocator.
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):
-            pass
+        release()
     _last = operator
+
+
+def release() -> None:
+    """Give memory that is free back to the machine: allocators keep it, and idle workers would for good."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass

@@ -17,6 +17,8 @@ from aerolag.llm import caches
 from aerolag.storage import stage
 
 SLICE_ROWS = 256
+BATCH_ROWS = 2000
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 _shipped: set[str] = set()
@@ -25,13 +27,18 @@ _shipped: set[str] = set()
 def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the executors once for every application.
 
-    A worker that ran another operator before lets go of what it kept for that one.
+    A worker that ran another operator before lets go of what it kept for that one, and of free memory after each
+    task. Batches have ``BATCH_ROWS`` rows unless the session sets another number: texts are copied several times
+    on their way, so Spark's 10,000 rows of them are hundreds of megabytes.
     """
+    if df.sparkSession.conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        df.sparkSession.conf.set(_BATCH_SETTING, BATCH_ROWS)
     operator = f"{function.__module__}.{function.__qualname__}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caches.begin(operator)
-        return function(batches)
+        yield from function(batches)
+        caches.release()
 
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
