@@ -126,7 +126,8 @@ def build_manifest(rows: DataFrame) -> Manifest:
     may hold any share of the rows: rows are dealt over ranges of the whole order, equal rows too, and
     meet their group's number by stretches of ``STRETCH`` places.
     """
-    rows = rows.withColumn("serial", F.monotonically_increasing_id())
+    # Written first: dealing by ranges reads its input twice, and digests take a pass over all texts.
+    rows = stage(rows.withColumn("serial", F.monotonically_increasing_id()), "digests")
     order = ranked(rows, *[F.col(name).asc_nulls_first() for name in ("group", "order", "digest", "serial")])
     extents = order.groupBy("group").agg(F.min("position").alias("start"), F.count("*").alias("size"))
     extents = stage(extents, "groups")
