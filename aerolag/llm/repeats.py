@@ -15,11 +15,12 @@ are the repeated ones.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolag.llm.tables import map_arrow, slices, small_side, sorted_groups
@@ -272,7 +273,9 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = stage(find_runs(texts), "runs")
     at = F.struct("cls", "start")
     again = found.groupBy("key").agg(F.min(at).alias("low"), F.max(at).alias("high")).filter("low < high").select("key")
-    found = found.join(again, "key").distinct()
+    # Dealt by place after the join, so that a key of very many runs is no task of its own.
+    again = small_side(stage(again, "repeated-keys"))
+    found = found.join(again, "key").repartition("cls", "key", "start").distinct()
     listed = stage(found.groupBy("cls").agg(F.collect_list(F.struct("key", "start", "starts")).alias("listed")), "listed-runs")
     # While few texts are concerned, the others are left out before texts are shuffled.
     concerned = small_side(listed.select("cls"))
@@ -297,6 +300,22 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return involved, placed.select("cls", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
 
 
+def _classes(rows: DataFrame, hashed: Callable[[int], Column] = lambda seed: F.xxhash64("text", F.lit(seed))) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with ``cls``, equal for equal texts and them only, and what is known of each row without its text.
+
+    The class is a 64-bit hash. Texts of one class and different SHA-256 are looked for, and while there are any,
+    all rows are hashed with another seed.
+    """
+    sha = F.sha2(F.col("text").cast("binary"), 256).alias("sha")
+    for seed in itertools.count():
+        known = rows.withColumn("cls", hashed(seed))
+        about = stage(known.select("doc_id", "cls", "n_bytes", sha), "documents")
+        other = F.xxhash64("sha")
+        mixed = about.groupBy("cls").agg(F.min(other).alias("low"), F.max(other).alias("high")).filter("low < high")
+        if mixed.isEmpty():
+            return known, about
+
+
 def remove_repeats(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document (doc_id, text).
 
@@ -305,8 +324,8 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     is kept.
     """
     rows = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumns({"cls": F.xxhash64("text"), "n_bytes": F.octet_length("text").cast("long")})
-    about = stage(rows.select("doc_id", "cls", "n_bytes", F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "documents")
+    rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
+    rows, about = _classes(rows)
     involved, spans = repeated_spans(rows.filter(F.col("n_bytes") >= LENGTH).select("cls", "text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -134,3 +134,18 @@ def test_damage_is_written_down(spark):
     assert sum(g.offset <= place < g.offset + g.length for g in gaps for place in places) == 2
     covered = sum(g.length for g in gaps)
     assert 0 < covered < len(data) / 8
+
+
+def test_texts_that_share_a_class_are_told_apart(spark):
+    from aerolag.llm.repeats import _classes
+
+    rows = documents(spark, [(i, f"text {i % 6}") for i in range(12)]).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    used = []
+
+    def hashed(seed):
+        used.append(seed)
+        return F.xxhash64("text", F.lit(seed)) % (2 if seed < 2 else 10**15)
+
+    known, about = _classes(rows.select("doc_id", "text", "n_bytes"), hashed)
+    assert used == [0, 1, 2] and about.count() == 12
+    assert known.select("cls", "text").distinct().count() == known.select("cls").distinct().count() == 6
