@@ -26,7 +26,7 @@ MAX_LANGUAGES = 4096
 #: N-grams whose vectors a task stores, at 4 KB each, and those it binds at a time.
 GRAMS_KEPT, BLOCK_GRAMS = 16_384, 4096
 #: N-gram shares of texts that a task adds up before it bundles them, at 16 bytes each.
-SHARES_HELD = 2_000_000
+SHARES_HELD = 400_000
 
 _GRAMS = SYMBOLS**3
 
