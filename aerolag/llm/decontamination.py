@@ -23,7 +23,9 @@ from aerolag.storage import remove, scratch_path, stage
 
 WINDOW_WORDS = 10
 BLOCK_WORDS = 3
-TABLE_SIZE = 1 << 18
+#: Places of a shift table: the power of two above so many a block, within bounds (4 bytes each). Few blocks
+#: share a place then, so most of the table still shifts by the whole length.
+PLACES_PER_BLOCK, TABLE_SIZES = 4, (1 << 14, 1 << 23)
 STRETCH = 512
 #: So much benchmark text is searched for at a time.
 BENCHMARK_BLOCK_BYTES = 4 * 1024 * 1024
@@ -44,7 +46,9 @@ class Patterns:
     def __init__(self, length: int, windows: np.ndarray):
         self.length, self.windows = length, windows
         self.block = min(BLOCK_WORDS, length)
-        self.shift = np.full(TABLE_SIZE, length - self.block + 1, dtype=np.int32)
+        wanted = PLACES_PER_BLOCK * len(windows) * (length - self.block + 1)
+        self.size = 1 << int(np.clip(wanted, *TABLE_SIZES) - 1).bit_length()
+        self.shift = np.full(self.size, length - self.block + 1, dtype=np.int32)
         for end in range(self.block - 1, length):
             codes = self.codes(windows, np.full(len(windows), end), by_row=True)
             np.minimum.at(self.shift, codes, length - 1 - end)
@@ -60,7 +64,7 @@ class Patterns:
             word = numbers[np.arange(len(ends)), at] if by_row else numbers[at]
             code = (code ^ word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
             code ^= code >> np.uint64(29)
-        return (code & np.uint64(TABLE_SIZE - 1)).astype(np.int64)
+        return (code & np.uint64(self.size - 1)).astype(np.int64)
 
     def search(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ends and window numbers of all occurrences."""

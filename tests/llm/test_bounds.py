@@ -149,3 +149,16 @@ def test_texts_that_share_a_class_are_told_apart(spark):
     known, about = _classes(rows.select("doc_id", "text", "n_bytes"), hashed)
     assert used == [0, 1, 2] and about.count() == 12
     assert known.select("cls", "text").distinct().count() == known.select("cls").distinct().count() == 6
+
+
+@pytest.mark.parametrize("windows", [10, 3000, 200_000])
+def test_shift_tables_grow_with_the_benchmark(windows):
+    """Random words are skipped by more than half a window on average, whatever the number of windows."""
+    from aerolag.llm.decontamination import Patterns
+
+    rng = np.random.default_rng(windows)
+    patterns = Patterns(10, rng.integers(0, 50_000, (windows, 10)))
+    text = rng.integers(0, 50_000, 20_000)
+    shifts = patterns.shift[patterns.codes(text, np.arange(9, len(text)))]
+    assert shifts.mean() > 5
+    assert patterns.shift.nbytes <= 4 << 23
