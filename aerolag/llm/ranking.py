@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolag.llm.tables import map_arrow, slices
+from aerolag.llm.tables import map_arrow, slices, small_side
 from aerolag.storage import stage
 
 #: Results of an item.
@@ -120,8 +120,9 @@ def _stratum(m: int, rows: pa.Table) -> list[pa.Array]:
 def stratified_index(counts: DataFrame, documents: int, length: int) -> DataFrame:
     """The strata of ``counts``, of ``documents`` documents with ``length`` terms in all.
 
-    Rows are sorted by m over all tasks and cut where m changes and at a size, so neither a common length nor
-    one task's share needs to fit memory. A row has m, the documents and the postings by term and descending tf.
+    Neighbouring strata go to one task up to ``TASK_POSTINGS``, larger ones to several, by the documents' hash:
+    long documents hold most of the postings, so tasks of as many documents each would be uneven. A task cuts its rows
+    where m changes and at a size. A row has m, the documents and the postings by term and descending tf.
     """
     if not documents:
         m = F.lit(0).cast("long")
@@ -161,11 +162,20 @@ def stratified_index(counts: DataFrame, documents: int, length: int) -> DataFram
         if held:
             yield row()
 
-    sums = counts.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("postings")).first()
+    rows = counts.select("doc_id", "n", "terms", "tfs", m.alias("m"))
+    strata = rows.groupBy("m").agg(F.sum(F.size("terms") + F.lit(1)).alias("postings"))
+    # As many rows as there are different lengths, up to the factor of m.
+    earlier = Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
+    strata = strata.withColumn("before", F.coalesce(F.sum("postings").over(earlier), F.lit(0)))
+    strata = stage(strata, "strata-sizes")
+    total = strata.agg(F.coalesce(F.sum("postings"), F.lit(0))).first()[0]
     cores = counts.sparkSession.sparkContext.defaultParallelism
-    tasks = max(cores, -(-sums["postings"] // TASK_POSTINGS))
-    rows = counts.select("doc_id", "terms", "tfs", m.alias("m"), F.monotonically_increasing_id().alias("serial"))
-    dealt = rows.repartitionByRange(tasks, "m", "serial").sortWithinPartitions("m")
+    share = max(1, min(TASK_POSTINGS, -(-total // (4 * cores))))
+    first = F.floor(F.col("before") / share)
+    parts = F.ceil(F.col("postings") / share)
+    spread = F.pmod(F.xxhash64("doc_id", "n", "terms", "tfs"), parts)
+    placed = rows.join(small_side(strata), "m").withColumn("task", first + spread)
+    dealt = placed.repartition(-(-total // share) + 1, "task").sortWithinPartitions("m")
     id_type = counts.schema["doc_id"].dataType.simpleString()
     schema = f"m long, doc_ids array<{id_type}>, terms array<int>, tfs array<int>, documents array<int>"
     return map_arrow(dealt.select("doc_id", "terms", "tfs", "m"), build, schema)
