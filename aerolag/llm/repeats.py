@@ -33,6 +33,8 @@ PIECE_BYTES = 1 << 20
 CHUNK_BYTES = 96 * 1024
 #: Contexts of one key that one transform is taken of; with more, every two blocks meet.
 KEY_BLOCK = 1024
+#: Contexts a task of transforms gets, about.
+TASK_CONTEXTS = 10_000
 REMEMBERED = 200_000
 
 _rng = np.random.default_rng(4)
@@ -289,7 +291,10 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     together = distinct.join(groups, "key").withColumn("block", F.pmod("print", "blocks"))
     together = together.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     together = together.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "print", "ctx")
-    dealt = together.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    # By a count: sorting suffixes takes time, and adaptive execution would join tasks by their few bytes.
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    tasks = max(4 * cores, -(-distinct.count() // TASK_CONTEXTS))
+    dealt = together.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     covered = map_arrow(dealt, _covered, "key long, print long, low long, high long")
     whole = distinct.filter("n > 1").select("key", "print", F.lit(0).cast("long").alias("low"), F.length("ctx").cast("long").alias("high"))
     spans = stage(covered.unionByName(whole), "covered")
