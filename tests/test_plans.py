@@ -85,7 +85,7 @@ def test_ids_do_not_move_rows(flights):
     assert "SortMergeJoin" not in shape and "BroadcastHashJoin" in shape
     # Only the staged counts of the files are below windows and shuffles.
     assert shape.count("Window") == 2
-    assert len(re.findall(r"ReadSchema: struct<_file:string,_n:bigint", text)) >= 1
+    assert len(re.findall(r"ReadSchema: struct<_file:string,_size:bigint,_time:timestamp,_n:bigint", text)) >= 1
 
 
 def test_only_rare_values_are_shuffled(flights, monkeypatch):
