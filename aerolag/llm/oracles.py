@@ -52,6 +52,25 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+#: Texts as hex, two digits a byte. Strings are told apart by MD5.
+OP4_REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)),
+s AS (SELECT r, i FROM k JOIN (SELECT k FROM k GROUP BY k HAVING count(*) > 1) USING (k)),
+g AS (SELECT r, i, sum(CASE WHEN i <= prev + 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run
+      FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS prev FROM s)),
+spans AS (SELECT r, run, min(i) AS low, max(i) + 400 AS high FROM g GROUP BY 1, 2),
+between_spans AS (
+  SELECT r, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS a, low AS b FROM spans
+  UNION ALL SELECT r, max(high), NULL FROM spans GROUP BY r),
+kept AS (SELECT r, sha256(unhex(string_agg(substr(h, 2 * a + 1, CASE WHEN b IS NULL THEN length(h) ELSE 2 * (b - a) END), '' ORDER BY a, b NULLS LAST))) AS kept_sha256
+         FROM between_spans JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, CAST(sum(high - low) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  coalesce(kept_sha256, sha256(unhex(h))) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
+
 OP9_WARC = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
@@ -147,6 +166,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_embeddings": OP1_EMBEDDINGS,
         "op2_jaccard": OP2_JACCARD,
         "op3_decontamination": OP3_DECONTAMINATION,
+        "op4_repeats": OP4_REPEATS,
         "op9_warc": OP9_WARC,
         "op11_ranking": OP11_RANKING,
         "op12_manifest": OP12_MANIFEST,
