@@ -31,6 +31,13 @@ def method_sizes(spark, df):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_methods_with_the_joins_are_small_enough_to_compile(spark):
+    frame = feature_frame(order_flights(spark, SMALL))
+    for df in (type_table(frame), observe_incomplete(minutes_table(frame))[0]):
+        sizes = method_sizes(spark, df)
+        assert sizes and max(sizes) < 8000
+
+
 @pytest.mark.parametrize("name", ["table_refresh", "refresh_after_failure"])
 def test_refreshed_rows_are_written_once(spark, monkeypatch, name):
     staged = []
