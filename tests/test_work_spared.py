@@ -31,6 +31,21 @@ def method_sizes(spark, df):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_line_items_meet_orders_and_customers_joined(spark):
+    text = optimized(order_flights(spark, SMALL))
+    joins = [line for line in text.splitlines() if "Join Inner" in line]
+    depth = {name: line.index("Join") for line in joins for name in ("l_orderkey", "o_custkey") if f"({name}#" in line}
+    # The customers are below the join of line items and orders, so that line items are not shuffled for them.
+    assert depth["o_custkey"] > depth["l_orderkey"]
+
+
+def test_few_columns_are_shuffled(spark):
+    text = optimized(order_flights(spark, SMALL))
+    above = text[: text.index("Join Inner")]
+    for made in ("crsdeptime", "crsarrtime", "dayofmonth", "_dry_delay"):
+        assert made in above and made not in text[text.index("Join Inner") :]
+
+
 def test_methods_with_the_joins_are_small_enough_to_compile(spark):
     frame = feature_frame(order_flights(spark, SMALL))
     for df in (type_table(frame), observe_incomplete(minutes_table(frame))[0]):
