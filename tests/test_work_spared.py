@@ -60,3 +60,11 @@ def test_refreshed_rows_are_written_once(spark, monkeypatch, name):
     found = registered.queries()[name](spark, SMALL)
     assert staged == []
     assert found.exceptAll(registered.features_type(spark, SMALL)).isEmpty() and found.count() == 5950
+
+
+def test_type_rows_are_made_once_for_rules_and_models(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(registered, "dropna_type", lambda *at: made.append(at) or spark.range(1))
+    monkeypatch.setattr(registered, "_ruled_types", lambda complete: (_ for _ in ()).throw(KeyError(len(made))))
+    with pytest.raises(KeyError, match="1"):
+        registered.delay_type_eval(spark, SMALL)
