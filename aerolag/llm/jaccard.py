@@ -14,6 +14,7 @@ where what is left behind those places cannot reach the overlap that the blocks'
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from aerolag.llm.components import connected_components
 from aerolag.llm.shingles import set_key, shingle_set
-from aerolag.llm.tables import map_arrow, slices, sorted_groups
+from aerolag.llm.tables import map_arrow, slices, small_side, sorted_groups
 from aerolag.storage import stage
 
 #: Two sets link when LINK[1] * intersection >= LINK[0] * union.
@@ -34,6 +35,10 @@ HEAVY = 32
 BITMAP_BITS = 27
 #: Shingles counted in one task, about.
 COUNTED_AT_ONCE = 1 << 22
+#: Leading bits a shingle is counted by, within the bucket they begin with.
+COUNTED_BITS = 28
+#: Fewer shingles than this are sent as they are.
+PACKED_FROM = 512
 #: Shingles a task gathers before it sends them to be counted.
 GATHERED = 1 << 21
 #: Sets a task remembers, so that copies are worked on once.
@@ -80,6 +85,24 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
                 yield key, fingerprints, text
 
 
+def _packed(low: np.ndarray) -> bytes:
+    """Sorted numbers of ``COUNTED_BITS`` bits: the lower 16 of each, the upper ones as gaps in a bitmap."""
+    if len(low) < PACKED_FROM:
+        return struct.pack("<I", len(low)) + low.astype("<u4").tobytes()
+    bits = np.zeros(len(low) + (1 << (COUNTED_BITS - 16)), dtype=bool)
+    bits[(low >> 16).astype(np.int64) + np.arange(len(low))] = True
+    return struct.pack("<I", len(low)) + low.astype("<u2").tobytes() + np.packbits(bits).tobytes()
+
+
+def _unpacked(part: bytes) -> np.ndarray:
+    """The numbers that ``_packed`` wrote."""
+    (n,) = struct.unpack_from("<I", part)
+    if n < PACKED_FROM:
+        return np.frombuffer(part, "<u4", n, 4)
+    marked = np.flatnonzero(np.unpackbits(np.frombuffer(part, np.uint8, offset=4 + 2 * n)))
+    return ((marked - np.arange(n)) << 16).astype("<u4") | np.frombuffer(part, "<u2", n, 4)
+
+
 def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
     """Two bitmaps over the leading bits of fingerprints: those that occur again, and the heavy ones.
 
@@ -94,10 +117,10 @@ def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
 
         def send() -> pa.RecordBatch:
             all_of = np.sort(np.concatenate(held))
-            low = ((all_of << np.uint64(buckets)) >> np.uint64(32)).astype("<u4")
+            low = ((all_of << np.uint64(buckets)) >> np.uint64(64 - COUNTED_BITS)).astype("<u4")
             edges = np.searchsorted(all_of, np.arange(1 << buckets, dtype=np.uint64) << np.uint64(64 - buckets))
             edges = [*edges.tolist(), len(all_of)]
-            parts = [(b, low[edges[b] : edges[b + 1]].tobytes()) for b in range(1 << buckets) if edges[b] < edges[b + 1]]
+            parts = [(b, _packed(low[edges[b] : edges[b + 1]])) for b in range(1 << buckets) if edges[b] < edges[b + 1]]
             return pa.RecordBatch.from_pydict({"bucket": [p[0] for p in parts], "part": [p[1] for p in parts]})
 
         for _, fingerprints, _ in _new_sets(batches):
@@ -111,10 +134,11 @@ def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def marks(bucket: int, parts: list[bytes]) -> pa.RecordBatch:
-            low = np.sort(np.frombuffer(b"".join(parts), dtype="<u4"))
+            low = np.sort(np.concatenate([_unpacked(part) for part in parts]))
             starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
             counts = np.diff(np.append(starts, len(low)))
-            place = ((np.uint64(bucket) << np.uint64(32)) | low[starts].astype(np.uint64)) >> np.uint64(32 + buckets - BITMAP_BITS)
+            whole = (np.uint64(bucket) << np.uint64(COUNTED_BITS)) | low[starts].astype(np.uint64)
+            place = whole >> np.uint64(COUNTED_BITS + buckets - BITMAP_BITS)
             first = (bucket << BITMAP_BITS) >> buckets
             last = ((bucket + 1) << BITMAP_BITS) >> buckets
             bits = np.zeros((2, max(8, last - first)), dtype=bool)
@@ -137,7 +161,9 @@ def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
     gathered = map_arrow(documents.select("text"), gather, "bucket long, part binary")
     sorted_parts = gathered.repartition("bucket").sortWithinPartitions("bucket")
     bitmaps = np.zeros((2, 1 << (BITMAP_BITS - 3)), dtype=np.uint8)
-    for row in map_arrow(sorted_parts, count, "first long, again binary, heavy binary").toLocalIterator():
+    # Written down, so that what was shuffled goes at once.
+    marked = stage(map_arrow(sorted_parts, count, "first long, again binary, heavy binary"), "marks")
+    for row in marked.toLocalIterator():
         for bitmap, part in zip(bitmaps, (row["again"], row["heavy"])):
             bits = np.frombuffer(part, np.uint8)
             bitmap[row["first"] // 8 : row["first"] // 8 + len(bits)] |= bits
@@ -318,14 +344,16 @@ def set_links(documents: DataFrame, members: DataFrame) -> DataFrame:
     known = stage(connected_components(answers.filter(is_link).select("a", "b")), "components")
 
     # Lists over several components: what follows from those answers.
-    placed = answers.select(F.col("a").alias("first"), "b", F.col("size_b").alias("size"), "bits", "others")
-    placed = placed.join(in_lists.withColumnRenamed("set_key", "b"), ["first", "b"])
+    # Which members are left follows from narrow rows; the wide answers are joined last.
+    placed = in_lists.withColumnRenamed("set_key", "b")
     label = F.coalesce("component", "b").alias("label")
     placed = placed.join(known, placed["b"] == known["node"], "left").select(*placed.columns, label)
     mixed = placed.groupBy("first").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
     mixed = mixed.filter("low < high").select("first", F.ceil(F.col("n") / LIST_BLOCK).alias("blocks"))
-    rest = placed.join(mixed, "first").withColumn("block", F.pmod(F.xxhash64("b"), "blocks"))
-    spread = rest.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rest = stage(placed.join(mixed, "first").withColumn("block", F.pmod(F.xxhash64("b"), "blocks")), "mixed")
+    wide = answers.select(F.col("a").alias("first"), "b", F.col("size_b").alias("size"), "bits", "others")
+    spread = wide.join(small_side(rest), ["first", "b"])
+    spread = spread.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     spread = spread.select(
         "first", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "b", "label", "size", "left", "bits", "others"
     )
