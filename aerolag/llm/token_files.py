@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolag.llm.tables import map_arrow, slices
+from aerolag.llm.tables import BATCH_ROWS, map_arrow, slices
 from aerolag.llm.tokenizing import crc_of_ids, encoder
 from aerolag.storage import scratch_path
 
@@ -126,7 +126,7 @@ def write_token_files(documents: DataFrame, path: str, tokenizer: str, blank_joi
                 ["part", "number", "n_ids", "doc_ids", "lengths", "codes"],
             )
 
-        for batch in slices(batches, 1024):
+        for batch in slices(batches, BATCH_ROWS):
             for i, ids in enumerate(tokens_of.encode(batch.column("text"))):
                 names.append(batch.column("doc_id").slice(i, 1))
                 parts.append(ids)

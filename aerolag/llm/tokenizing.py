@@ -22,7 +22,9 @@ WORDS_KEPT = 400_000
 END_ID = 0
 #: The tokenizers' special token, which parts words that are encoded together.
 SPECIAL = "<|endoftext|>"
-WORDS_AT_ONCE = 64
+#: Words of letters and other words that are encoded as one text, and so many words in a call.
+LETTERS_AT_ONCE, WORDS_AT_ONCE = 256, 64
+WORDS_A_CALL = 1 << 14
 
 #: Blanks that do not stand alone, and white space other than blanks and line breaks.
 _ODD_BLANKS = (
@@ -79,9 +81,9 @@ class Encoder:
         """Ids of each part on its own, many at a time: words of letters by their edges, others by the special token."""
         found: dict[str, bytes] = {}
         letters = list(filter(_LETTERS.fullmatch, parts))
-        for start in range(0, len(letters), 256 * WORDS_AT_ONCE):
-            some = letters[start : start + 256 * WORDS_AT_ONCE]
-            groups = [some[i : i + WORDS_AT_ONCE] for i in range(0, len(some), WORDS_AT_ONCE)]
+        for start in range(0, len(letters), WORDS_A_CALL):
+            some = letters[start : start + WORDS_A_CALL]
+            groups = [some[i : i + LETTERS_AT_ONCE] for i in range(0, len(some), LETTERS_AT_ONCE)]
             lead = " " if self.blank_joins else ""
             for group, ids in zip(groups, self._ids([lead + " ".join(group) for group in groups])):
                 edges = np.flatnonzero(self.edge[ids])
@@ -94,8 +96,8 @@ class Encoder:
         rest = [part for part in parts if part not in found]
         texts = [part if part[:1] == "\n" or not self.blank_joins else " " + part for part in rest]
         plain = [i for i, text in enumerate(texts) if "<|" not in text]
-        for start in range(0, len(plain), 256 * WORDS_AT_ONCE):
-            some = plain[start : start + 256 * WORDS_AT_ONCE]
+        for start in range(0, len(plain), WORDS_A_CALL):
+            some = plain[start : start + WORDS_A_CALL]
             groups = [some[i : i + WORDS_AT_ONCE] for i in range(0, len(some), WORDS_AT_ONCE)]
             for group, ids in zip(groups, self._ids([SPECIAL.join([texts[i] for i in group]) for group in groups])):
                 cuts = np.flatnonzero(ids == self.special)
@@ -110,28 +112,30 @@ class Encoder:
         """The ids of distinct ``parts``, which are in the newer generation then."""
         if len(self.new) > WORDS_KEPT:
             self.old, self.new = self.new, {}
-        known = list(map(self.new.get, parts))
+        new = self.new
+        known = list(map(new.get, parts))
+        places = [place for place, ids in enumerate(known) if ids is None]
+        missing = [parts[place] for place in places]
         unknown: dict[str, None] = {}
         ends = []
-        for place, (part, ids) in enumerate(zip(parts, known)):
-            if ids is None:
-                known[place] = ids = self.old.get(part)
-                if ids is not None:
-                    self.new[part] = ids
-                elif part[-1:] in (",", ".") and _LETTERS.fullmatch(part, 0, len(part) - 1):
-                    # The tokenizers part letters from what follows them.
-                    ends.append(place)
-                    if part[:-1] not in self.new:
-                        unknown[part[:-1]] = None
-                else:
-                    unknown[part] = None
-        self.new.update(zip(unknown, self._encode(list(unknown))))
-        for place in ends:
-            part = parts[place]
+        for part, ids in zip(missing, list(map(self.old.get, missing))):
+            if ids is not None:
+                new[part] = ids
+            elif part[-1:] in (",", ".") and _LETTERS.fullmatch(part, 0, len(part) - 1):
+                # The tokenizers part letters from what follows them.
+                ends.append(part)
+                if part[:-1] not in new:
+                    unknown[part[:-1]] = None
+            else:
+                unknown[part] = None
+        new.update(zip(unknown, self._encode(list(unknown))))
+        for part in ends:
             if part[-1] not in self.marks:
                 self.marks[part[-1]] = self._whole(part[-1])
-            self.new[part] = self.new[part[:-1]] + self.marks[part[-1]]
-        return [self.new[part] if ids is None else ids for part, ids in zip(parts, known)]
+            new[part] = new[part[:-1]] + self.marks[part[-1]]
+        for place, part in zip(places, missing):
+            known[place] = new[part]
+        return known
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and the end id; a null text has the end id alone."""

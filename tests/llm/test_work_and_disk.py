@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from aerolag.llm import jaccard
+from aerolag.llm.tokenizing import Encoder
 from aerolag.storage import stage
 
 
@@ -33,3 +36,14 @@ def test_a_stage_leaves_no_shuffle_files(spark):
     left = {name.split("_")[1] for name in shuffled() - before}
     # The count above shuffles on its own; the two shuffles of the staged rows are gone.
     assert len(left) <= 1
+
+
+def test_words_are_encoded_in_few_texts(monkeypatch):
+    words = ["".join(chr(97 + (i // 26**p) % 26) for p in range(4)) for i in range(1000)]
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    texts = []
+    encode = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda some: texts.extend(some) or encode(some))
+    (ids,) = encoder.encode(pa.array([" ".join(words)]))
+    assert len(texts) <= 6
+    assert ids.tolist() == [*encoder.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, 0]
