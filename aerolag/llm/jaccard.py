@@ -15,10 +15,12 @@ where what is left behind those places cannot reach the overlap that the blocks'
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,10 @@ from aerolag.storage import stage
 LINK = (75, 100)
 #: A shingle in so many classes comes last in the order.
 HEAVY = 32
-#: Size of the two bitmaps of shingles that occur again and that are heavy, in bits as a power of two.
+#: Largest size of the two bitmaps of shingles that occur again and that are heavy, in bits as a power of two,
+#: and bits for each shingle below it.
 BITMAP_BITS = 27
+BITS_A_SHINGLE = 16
 #: Shingles counted in one task, about.
 COUNTED_AT_ONCE = 1 << 22
 #: Leading bits a shingle is counted by, within the bucket they begin with.
@@ -103,14 +107,43 @@ def _unpacked(part: bytes) -> np.ndarray:
     return ((marked - np.arange(n)) << 16).astype("<u4") | np.frombuffer(part, "<u2", n, 4)
 
 
-def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
+class Marks:
     """Two bitmaps over the leading bits of fingerprints: those that occur again, and the heavy ones.
 
-    Counts cover every set. Marks are shared by fingerprints with equal leading bits, so a mark may say
-    too much but never too little; the order of shingles they define is exact for any marks. ``total``
-    bounds the shingles and sets how many tasks count.
+    The driver holds them as the parts that tasks have compressed, (first byte, again, heavy), and a task unpacks
+    what it looks up. Marks are shared by fingerprints with equal leading bits, so a mark may say too much but
+    never too little; the order of shingles they define is exact for any marks.
     """
-    buckets = min(BITMAP_BITS - 3, max(4, (total // COUNTED_AT_ONCE).bit_length()))
+
+    def __init__(self, bits: int, parts: list[tuple[int, bytes, bytes]]):
+        self.bits, self.parts = bits, parts
+
+    def _unpacked(self, column: int) -> np.ndarray:
+        bitmap = np.zeros(1 << (self.bits - 3), dtype=np.uint8)
+        for part in self.parts:
+            some = np.frombuffer(zlib.decompress(part[column]), np.uint8)
+            bitmap[part[0] : part[0] + len(some)] |= some
+        return bitmap
+
+    def again(self) -> np.ndarray:
+        return self._unpacked(1)
+
+    def heavy(self) -> np.ndarray:
+        return self._unpacked(2)
+
+    def of(self, bitmap: np.ndarray, fingerprints: np.ndarray) -> np.ndarray:
+        """The marks (0 or 1) of ``fingerprints`` in a bitmap that was unpacked."""
+        place = (fingerprints >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+
+
+def repeated_shingles(documents: DataFrame, total: int) -> Marks:
+    """The marks of all shingles of ``documents`` (text).
+
+    Counts cover every set. ``total`` bounds the shingles and sets how many tasks count and how large the bitmaps are.
+    """
+    bits = min(BITMAP_BITS, max(16, (BITS_A_SHINGLE * total).bit_length()))
+    buckets = min(bits - 3, max(4, (total // COUNTED_AT_ONCE).bit_length()))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -138,14 +171,14 @@ def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
             starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
             counts = np.diff(np.append(starts, len(low)))
             whole = (np.uint64(bucket) << np.uint64(COUNTED_BITS)) | low[starts].astype(np.uint64)
-            place = whole >> np.uint64(COUNTED_BITS + buckets - BITMAP_BITS)
-            first = (bucket << BITMAP_BITS) >> buckets
-            last = ((bucket + 1) << BITMAP_BITS) >> buckets
-            bits = np.zeros((2, max(8, last - first)), dtype=bool)
-            bits[0, (place[counts >= 2]).astype(np.int64) - first] = True
-            bits[1, (place[counts >= HEAVY]).astype(np.int64) - first] = True
-            again, heavy = (np.packbits(row, bitorder="little").tobytes() for row in bits)
-            return pa.RecordBatch.from_pydict({"first": [first], "again": [again], "heavy": [heavy]})
+            place = whole >> np.uint64(COUNTED_BITS + buckets - bits)
+            first = (bucket << bits) >> buckets
+            last = ((bucket + 1) << bits) >> buckets
+            marked = np.zeros((2, last - first), dtype=bool)
+            marked[0, (place[counts >= 2]).astype(np.int64) - first] = True
+            marked[1, (place[counts >= HEAVY]).astype(np.int64) - first] = True
+            again, heavy = (zlib.compress(np.packbits(row, bitorder="little"), 1) for row in marked)
+            return pa.RecordBatch.from_pydict({"first": [first // 8], "again": [again], "heavy": [heavy]})
 
         bucket, parts = None, []
         for batch in slices(batches, 16):
@@ -160,25 +193,20 @@ def repeated_shingles(documents: DataFrame, total: int) -> tuple[bytes, bytes]:
 
     gathered = map_arrow(documents.select("text"), gather, "bucket long, part binary")
     sorted_parts = gathered.repartition("bucket").sortWithinPartitions("bucket")
-    bitmaps = np.zeros((2, 1 << (BITMAP_BITS - 3)), dtype=np.uint8)
     # Written down, so that what was shuffled goes at once.
     marked = stage(map_arrow(sorted_parts, count, "first long, again binary, heavy binary"), "marks")
-    for row in marked.toLocalIterator():
-        for bitmap, part in zip(bitmaps, (row["again"], row["heavy"])):
-            bits = np.frombuffer(part, np.uint8)
-            bitmap[row["first"] // 8 : row["first"] // 8 + len(bits)] |= bits
-    return bitmaps[0].tobytes(), bitmaps[1].tobytes()
+    return Marks(bits, [(row["first"], bytes(row["again"]), bytes(row["heavy"])) for row in marked.toLocalIterator()])
 
 
-def prefixes(documents: DataFrame, bitmaps: tuple[bytes, bytes]) -> DataFrame:
+def prefixes(documents: DataFrame, shared: Broadcast[Marks]) -> DataFrame:
     """set_key, size, text, and the shingles of the prefix that may occur again with their places.
 
     Sets whose prefix holds no such shingle are similar to none and left out. A set may come once a task.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(bitmaps)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        again, heavy = (np.frombuffer(bits, np.uint8) for bits in shared.value)
+        marks = shared.value
+        again, heavy = marks.again(), marks.heavy()
         rows, held = [], 0
 
         def send() -> pa.RecordBatch:
@@ -189,9 +217,7 @@ def prefixes(documents: DataFrame, bitmaps: tuple[bytes, bytes]) -> DataFrame:
             )
 
         for key, fingerprints, text in _new_sets(batches):
-            place = (fingerprints >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-            byte, bit = place >> 3, (place & 7).astype(np.uint8)
-            level = ((again[byte] >> bit) & 1) + ((heavy[byte] >> bit) & 1)
+            level = marks.of(again, fingerprints) + marks.of(heavy, fingerprints)
             size = len(fingerprints)
             length = size - -(-LINK[0] * size // LINK[1]) + 1
             if np.count_nonzero(level == 0) >= length:
@@ -211,14 +237,13 @@ def prefixes(documents: DataFrame, bitmaps: tuple[bytes, bytes]) -> DataFrame:
     )
 
 
-def compare(pairs: DataFrame, texts: DataFrame, bitmaps: tuple[bytes, bytes]) -> DataFrame:
+def compare(pairs: DataFrame, texts: DataFrame, shared: Broadcast[Marks]) -> DataFrame:
     """Exact answers for pairs (a, b) of set keys: a, b, size_a, size_b, overlap, bits, others.
 
     ``bits`` marks the shingles of a that b holds, in order; ``others`` lists those of b that a lacks
     and that may occur again. All comparisons with one ``a`` are dealt to tasks of about
     ``LIST_BLOCK``, to each of which its text comes once; the others pass by it one at a time.
     """
-    shared = pairs.sparkSession.sparkContext.broadcast(bitmaps[0])
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("parts"))
     dealt = pairs.join(counts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
     one_of_each = texts.select("set_key", "text").dropDuplicates(["set_key"])
@@ -227,7 +252,8 @@ def compare(pairs: DataFrame, texts: DataFrame, bitmaps: tuple[bytes, bytes]) ->
     firsts = firsts.select("a", "part", F.lit(None).cast("long").alias("b"), "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        again = np.frombuffer(shared.value, np.uint8)
+        marks = shared.value
+        again = marks.again()
         types = [pa.int64()] * 5 + [pa.binary()] * 2
         first = np.empty(0, dtype=np.uint64)
         for batch in slices(batches):
@@ -242,8 +268,7 @@ def compare(pairs: DataFrame, texts: DataFrame, bitmaps: tuple[bytes, bytes]) ->
                 bits = np.zeros(len(first), dtype=bool)
                 bits[at[common]] = True
                 rest = other[~common]
-                place = (rest >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                rest = rest[(again[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0]
+                rest = rest[marks.of(again, rest) > 0]
                 rows.append((a, b, len(first), len(other), int(common.sum()), np.packbits(bits).tobytes(), rest.tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -326,8 +351,8 @@ def _derived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def set_links(documents: DataFrame, members: DataFrame) -> DataFrame:
     """Links (a, b) between set keys whose components are those of all links of ``documents`` (text)."""
     total = members.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    bitmaps = repeated_shingles(documents, total)
-    listed = stage(prefixes(documents, bitmaps), "prefixes")
+    shared = documents.sparkSession.sparkContext.broadcast(repeated_shingles(documents, total))
+    listed = stage(prefixes(documents, shared), "prefixes")
     entry = F.explode(F.arrays_zip("shingles", "places")).alias("entry")
     entries = listed.select("set_key", "size", entry).select(
         "set_key", F.col("entry.shingles").alias("shingle"), (F.col("size") - F.col("entry.places")).alias("left")
@@ -339,7 +364,9 @@ def set_links(documents: DataFrame, members: DataFrame) -> DataFrame:
 
     # The first class of each list against its others: exact answers.
     pairs = in_lists.select(F.col("first").alias("a"), F.col("set_key").alias("b"))
-    answers = stage(compare(pairs, listed, bitmaps), "answers")
+    answers = stage(compare(pairs, listed, shared), "answers")
+    # Nothing looks up marks any more; their memory goes now, not when the driver's is next collected.
+    shared.destroy()
     is_link = F.expr(f"{LINK[1]} * overlap >= {LINK[0]} * (size_a + size_b - overlap)")
     known = stage(connected_components(answers.filter(is_link).select("a", "b")), "components")
 

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import pickle
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 from aerolag.llm import jaccard
+from aerolag.llm.shingles import shingle_set
 from aerolag.llm.tokenizing import Encoder
 from aerolag.storage import stage
+from llm.cases import documents
 
 
 def test_counted_shingles_are_packed_and_unpacked():
@@ -23,6 +29,22 @@ def test_counted_shingles_are_packed_and_unpacked():
     assert len(part) < 2.2 * n
 
 
+@pytest.mark.parametrize("total", [0, 4000, 1 << 24])
+def test_the_driver_holds_marks_packed(spark, total):
+    """Marks of few shingles take few bytes on the driver, and no shingle that occurs again lacks its mark."""
+    texts = [" ".join(f"w{k}" for k in range(i * 20, i * 20 + 60)) for i in range(60)]
+    texts += [f"{' '.join(f'h{k}' for k in range(9))} x{i}" for i in range(jaccard.HEAVY)]
+    marks = jaccard.repeated_shingles(documents(spark, list(enumerate(texts))).select("text"), total)
+    assert len(pickle.dumps(marks)) < 200_000
+    counts = Counter(f for text in texts for f in shingle_set(text).tolist())
+    again = np.array([f for f, n in counts.items() if n >= 2], dtype=np.uint64)
+    heavy = np.array([f for f, n in counts.items() if n >= jaccard.HEAVY], dtype=np.uint64)
+    once = np.array([f for f, n in counts.items() if n == 1], dtype=np.uint64)
+    assert len(heavy) and marks.of(marks.again(), again).all() and marks.of(marks.heavy(), heavy).all()
+    if total:
+        assert marks.of(marks.again(), once).mean() < 0.1 and marks.of(marks.heavy(), once).mean() < 0.1
+
+
 def test_a_stage_leaves_no_shuffle_files(spark):
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
