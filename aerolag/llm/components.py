@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from aerolag.storage import stage
 
+#: Edges a task writes at least: a file for each of many tasks of a few edges costs more than they do.
+EDGES_A_TASK = 200_000
+
 
 def _mark(edges: DataFrame) -> tuple:
     """Equal for equal sets of edges."""
@@ -25,14 +28,15 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = stage(links.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(larger, smaller).distinct(), "edges")
     before = _mark(edges)
     while before[0]:
+        tasks = -(-before[0] // EDGES_A_TASK)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
         pulled = edges.select(F.col("v").alias("u"), F.col("u").alias("high")).join(nearest, "u")
         pulled = pulled.select(F.col("high").alias("u"), F.col("least").alias("v")).distinct()
-        pulled = stage(pulled, "edges")
+        pulled = stage(pulled.coalesce(tasks), "edges")
         nearest = pulled.groupBy("u").agg(F.min("v").alias("least"))
         rest = pulled.join(nearest, "u").filter("v <> least").select(F.col("v").alias("u"), F.col("least").alias("v"))
-        edges = stage(nearest.select("u", F.col("least").alias("v")).unionByName(rest).distinct(), "edges")
+        edges = stage(nearest.select("u", F.col("least").alias("v")).unionByName(rest).distinct().coalesce(tasks), "edges")
         after = _mark(edges)
         if after == before:
             break

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from aerolag.llm import jaccard
+from aerolag.llm import components, jaccard, repeats
 from aerolag.llm.shingles import shingle_set
 from aerolag.llm.tokenizing import Encoder
 from aerolag.storage import stage
@@ -69,3 +69,39 @@ def test_words_are_encoded_in_few_texts(monkeypatch):
     (ids,) = encoder.encode(pa.array([" ".join(words)]))
     assert len(texts) <= 6
     assert ids.tolist() == [*encoder.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, 0]
+
+
+def staged_of(monkeypatch, module):
+    """What ``module`` stages from now on, as (name, rows to write, rows written)."""
+    staged = []
+
+    def noted(df, name):
+        staged.append((name, df, stage(df, name)))
+        return staged[-1][2]
+
+    monkeypatch.setattr(module, "stage", noted)
+    return staged
+
+
+def test_few_edges_are_written_by_one_task(spark, monkeypatch):
+    staged = staged_of(monkeypatch, components)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        links = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
+        found = components.connected_components(links).agg(F.count("*"), F.max("component")).first()
+    finally:
+        spark.conf.unset(setting)
+    assert tuple(found) == (200, 0)
+    assert len(staged) > 3 and {len(written.inputFiles()) for _, _, written in staged[1:]} == {1}
+
+
+def test_runs_are_counted_without_a_sort(spark, monkeypatch):
+    staged = staged_of(monkeypatch, repeats)
+    text = "".join(chr(97 + (i * i) % 23) for i in range(500))
+    docs = documents(spark, [(1, text), (2, f"{text} more"), (3, "x" * 450), (4, "short")])
+    found = {row.doc_id: row.n_removed for row in repeats.remove_repeats(docs).collect()}
+    (keys,) = [df for name, df, _ in staged if name == "repeated-keys"]
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert found == {1: 500, 2: 500, 3: 450, 4: 0}
